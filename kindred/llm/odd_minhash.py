@@ -6,8 +6,9 @@ Pagh and Pham, 2014) estimates a candidate's similarity from the population coun
 sharp just where similarities are high; what it leaves is confirmed on the full shingle sets.
 
 Scale: exact copies collapse to one representative before any band is built; a band's bucket is
-compared with its smallest member first (a star, never all pairs), and only members that the star
-left in another component meet the rest of their bucket, behind the sketch. Text is shuffled once.
+compared with its smallest member first (a star, never all pairs); members that the star left in another
+component meet their bucket's best-known member, and what is still outside meets the rest of the
+bucket, behind the sketch. Text is shuffled once.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ def _confirm(shingle: int, percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
     return both.select("a", "b", "ta", "tb").mapInArrow(_confirm(shingle, percent), "a long, b long")
@@ -162,7 +163,10 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
 
     entries = reps.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
     stars = entries.groupBy("band").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    crowded = written(entries.join(stars.select("band", "leader"), "band"), "buckets")
+    crowded = written(entries.join(stars.select("band", "leader", "n"), "band"), "buckets")
+    # Who shares the most buckets with the most others: the text that near copies were made from stands out.
+    fame = crowded.groupBy("doc_id").agg(F.sum("n").alias("fame"))
+    crowded = written(crowded.select("band", "doc_id", "leader").join(fame, "doc_id"), "known")
 
     left = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), *(F.col(o).alias(f"a{o}") for o in _ODD))
     right = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), *(F.col(o).alias(f"b{o}") for o in _ODD))
@@ -178,28 +182,41 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
     needed = crowded.select("doc_id").distinct()
     texts = written(docs.join(needed, "doc_id", "left_semi").join(
         members.select("doc_id", "digest"), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text"), "texts")
-    first = written(_verified(spokes, reps, texts, shingle, similarity_percent), "links-1")
-    found = components(first, "groups-1")
-
-    # Buckets whose members the stars left in several components: those outside the bucket's most
-    # common component meet all others of the bucket, so that no link is lost behind a leader.
-    known = crowded.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    known = known.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    sizes = known.groupBy("band", "component").count()
-    main = sizes.groupBy("band").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("parts"))
-    mixed = written(
-        known.join(main.where("parts > 1").select("band", F.col("top.component").alias("main")), "band"), "mixed"
-    )
-    mixed = mixed.join(reps.drop("bands"), "doc_id")
-    odd = mixed.where("component <> main").select(
-        "band", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"), *(F.col(o).alias(f"a{o}") for o in _ODD))
-    rest = mixed.select(
-        "band", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"), *(F.col(o).alias(f"b{o}") for o in _ODD))
-    more = odd.join(rest, "band").where(F.col("ca") != F.col("cb")).where(alike)
-    more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = written(more.join(spokes, ["a", "b"], "left_anti"), "second")
-    second = written(_verified(more, reps, texts, shingle, similarity_percent), "links-2")
-    groups = components(first.unionByName(second), "groups-2")
+    first = written(_verified(spokes, texts, shingle, similarity_percent), "links-1")
+
+    # Buckets whose members the stars left in several components. Those outside a bucket's most common
+    # component first meet the bucket's best-known member; those still outside then meet all others of
+    # the bucket, so that no link is lost behind a leader or a hub.
+    def mixed(links: DataFrame, label: str) -> DataFrame:
+        found = components(links, label)
+        known = crowded.select("band", "doc_id", "fame").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        known = known.select("band", "doc_id", "fame", F.coalesce("component", "doc_id").alias("component"))
+        sizes = known.groupBy("band", "component").agg(F.count("*").alias("n"), F.max(F.struct("fame", "doc_id", "component")).alias("hub"))
+        main = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.max("hub").alias("hub"), F.count("*").alias("parts"))
+        main = main.where("parts > 1").select("band", F.col("top.component").alias("main"), F.col("hub.doc_id").alias("hub"), F.col("hub.component").alias("hub_component"))
+        return written(known.join(main, "band"), f"{label}-mixed")
+
+    def sifted(pairs: DataFrame, done: list[DataFrame], label: str) -> DataFrame:
+        """Distinct pairs, larger id first, without those already compared."""
+        out = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        for d in done:
+            out = out.join(d, ["a", "b"], "left_anti")
+        return written(out, label)
+
+    outside = mixed(first, "groups-1").where("component <> hub_component").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    hubs = sifted(outside.join(left, "a").join(right, "b").where(alike), [spokes], "hubs")
+    second = written(_verified(hubs, texts, shingle, similarity_percent), "links-2")
+
+    rest = mixed(first.unionByName(second), "groups-2").drop("hub", "hub_component", "fame").join(reps, "doc_id")
+    own = lambda p: [F.col(x).alias(f"{p}{x}") for x in _ODD] + [F.col("doc_id").alias(p), F.col("component").alias(f"c{p}"), F.col("n_shingles").alias(f"n{p}"), F.col("bands").alias(f"bands_{p}")]
+    odd = rest.where("component <> main").select("band", *own("a"))
+    every = rest.select("band", *own("b"))
+    # A pair that shares several buckets comes out of the first of them only.
+    shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("band")
+    more = odd.join(every, "band").where((F.col("ca") != F.col("cb")) & alike & shared)
+    more = sifted(more, [spokes, hubs], "more")
+    third = written(_verified(more, texts, shingle, similarity_percent), "links-3")
+    groups = components(first.unionByName(second).unionByName(third), "groups-3")
 
     labelled = members.join(classes.withColumnRenamed("doc_id", "rep"), "digest")
     labelled = labelled.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
