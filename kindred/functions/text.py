@@ -106,20 +106,19 @@ def compact(col) -> Column:
     return F.replace(_text(col), F.lit(" "), F.lit(""))
 
 
-def _windows(x: Column, size: Column, n: int) -> Column:
-    """All windows of ``n`` characters; call only where ``size`` >= n."""
-    # A lambda's second parameter would be the element's index, so n must come from this scope.
-    return F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i: F.substring(x, i, F.lit(n)))
+def _windows(x: Column, n: int) -> Column:
+    """All windows of ``n`` characters of ``x``; none where it is shorter."""
+    # Bound as a lambda variable, the characters are split once and not for every window.
+    of = lambda chars: F.when(F.size(chars) >= n, F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(chars) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(chars, i, n), "")
+    )).otherwise(F.array().cast("array<string>"))
+    chars = F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, ""))
+    return F.transform(F.array(chars), of)[0]
 
 
 def char_ngrams(col, *sizes: int) -> Column:
     """Distinct character n-grams of the compacted text; none where it is shorter than n."""
-    x = compact(col)
-    none = F.array().cast("array<string>")
-    parts = []
-    for n in sizes:
-        parts.append(F.when(F.length(x) >= n, _windows(x, F.length(x), n)).otherwise(none))
-    return F.array_distinct(F.concat(*parts))
+    return F.array_distinct(F.concat(*(_windows(compact(col), n) for n in sizes)))
 
 
 def gram_bucket(country: Column, kind: Column, gram: Column, bits: int = 24) -> Column:
@@ -132,13 +131,7 @@ def word_boundary_grams(col, low: int = 2, high: int = 4) -> Column:
     words = F.filter(F.split(F.lower(_text(col)), r"(?U)\s+"), lambda t: t != "")
 
     def of(word: Column) -> Column:
-        w = F.concat(F.lit(" "), word, F.lit(" "))
-        size = F.length(w)
-        none = F.array().cast("array<string>")
-        parts = []
-        for n in range(low, high + 1):
-            parts.append(F.when(size >= n, _windows(w, size, n)).otherwise(none))
-        return F.concat(*parts)
+        return F.concat(*(_windows(F.concat(F.lit(" "), word, F.lit(" ")), n) for n in range(low, high + 1)))
 
     return F.flatten(F.transform(words, of))
 
