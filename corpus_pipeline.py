@@ -42,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, to the nearest whole number of times."""
     sizes = mixing.mixed_sizes(docs).select("doc_id", F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int").alias("times"))
     times = sizes.groupBy("doc_id").agg(F.max("times").alias("times")).where("times > 0")
-    out = docs.join(times, "doc_id").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    out = docs.join(times.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return out.select(*COLUMNS)
 
 
