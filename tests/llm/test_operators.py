@@ -191,9 +191,10 @@ def test_pipeline(spark, tmp_path, monkeypatch):
 
     rows = [(i, f"the house number {i} stands here and " + " ".join(f"word{i}x{j}" for j in range(30)) + "\nboilerplate line", "en", f"s{i % 2}", 5) for i in range(12)]
     rows += [(50, rows[0][1], "en", "s0", 5), (51, "12345", "en", "s0", 5), (52, None, None, None, None)]
+    rows += [(None, f"this tree without an id grows there and {' '.join(f'leaf{j}' for j in range(30))}", "en", "s1", 5)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     ids = {r["doc_id"] for r in out}
-    assert ids <= set(range(12)) and len(ids) >= 9 and all(r["exact"] and r["n_tokens"] for r in out)
+    assert ids <= {None, *range(12)} and len(ids) >= 10 and None in ids and all(r["exact"] and r["n_tokens"] for r in out)
     assert len(corpus_pipeline.STAGES) == 5
 
