@@ -4,6 +4,8 @@ Every text becomes 128 MinHash samples of its five-word shingles. Bands of four
 candidates; a 512-bit *odd sketch* (the parity of how many samples fall on each bit; Mitzenmacher,
 Pagh and Pham, 2014) estimates a candidate's similarity from the population count of an XOR, which is
 sharp just where similarities are high; what it leaves is confirmed on the full shingle sets.
+A second odd sketch folds the shingle set itself into 1,024 bits: two of them never differ in more bits than
+the sets differ in shingles, so it rejects pairs of short and middling texts without losing a link.
 
 Scale: exact copies collapse to one representative before any band is built; a band's bucket is
 compared with its smallest member first (a star, never all pairs); members that the star left in another
@@ -26,11 +28,13 @@ from kindred.llm.texthash import U, mix, seeds, shingles, words
 
 SAMPLES, ROWS, SKETCH_WORDS = 128, 4, 8
 _BITS = 64 * SKETCH_WORDS
+#: 64-bit words of the odd sketch of the whole set.
+SET_WORDS = 16
 #: Rounds in which an element draws its sample at random; samples still empty then see every element.
 _ROUNDS = 16
 _SEED, _REST = seeds(_ROUNDS, 1), seeds(SAMPLES, 2)
 _PLACE, _BAND = seeds(SAMPLES, 3), seeds(SAMPLES // ROWS, 4)
-_ODD = [f"o{i}" for i in range(SKETCH_WORDS)]
+_ODD, _SET = [f"o{i}" for i in range(SKETCH_WORDS)], [f"s{i}" for i in range(SET_WORDS)]
 
 
 def samples(grams: np.ndarray) -> np.ndarray:
@@ -59,6 +63,13 @@ def odd_sketch(values: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def set_sketch(grams: np.ndarray) -> np.ndarray:
+    """Parity of how many shingles fall on each bit; the fingerprints are mixed already."""
+    bits = 64 * SET_WORDS
+    odd = np.bincount((grams % U(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketch_limit(similarity: float, sigmas: float = 5.0) -> int:
     """Most differing bits that a pair at ``similarity`` shows, but for ``sigmas`` standard deviations."""
     spread = sigmas * (SAMPLES * similarity * (1 - similarity)) ** 0.5
@@ -67,11 +78,11 @@ def sketch_limit(similarity: float, sigmas: float = 5.0) -> int:
     return int(_BITS / 2 * (1 - (1 - 2 / _BITS) ** gone) + sigmas * 2)
 
 
-_SIGNED = "doc_id long, digest binary, n_shingles long, bands array<long>, " + ", ".join(f"{o} long" for o in _ODD)
+_SIGNED = "doc_id long, digest binary, n_shingles long, bands array<long>, " + ", ".join(f"{o} long" for o in _ODD + _SET)
 
 
 def _sign(shingle: int):
-    names = ["doc_id", "digest", "n_shingles", "bands", *_ODD]
+    names = ["doc_id", "digest", "n_shingles", "bands", *_ODD, *_SET]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,22 +94,22 @@ def _sign(shingle: int):
                 sizes.append(grams.size)
                 if grams.size:
                     s = samples(grams)
-                    odd.append(odd_sketch(s))
+                    odd.append(np.concatenate([odd_sketch(s), set_sketch(grams)]))
                     keys = (s * _PLACE).reshape(-1, ROWS).sum(axis=1, dtype=U)
                     bands.append(mix(keys ^ _BAND).view(np.int64))
                 else:
-                    odd.append(np.zeros(SKETCH_WORDS, np.int64))
+                    odd.append(np.zeros(SKETCH_WORDS + SET_WORDS, np.int64))
                     bands.append(np.empty(0, np.int64))
             flat = np.concatenate([*bands, np.empty(0, np.int64)])
             ends = np.cumsum([0, *(len(b) for b in bands)], dtype=np.int32)
-            odds = np.stack(odd) if odd else np.empty((0, SKETCH_WORDS), np.int64)
+            odds = np.stack(odd) if odd else np.empty((0, SKETCH_WORDS + SET_WORDS), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(sizes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    *(pa.array(odds[:, i].copy()) for i in range(SKETCH_WORDS)),
+                    *(pa.array(odds[:, i].copy()) for i in range(odds.shape[1])),
                 ],
                 names=names,
             )
@@ -168,12 +179,15 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
     fame = crowded.groupBy("doc_id").agg(F.sum("n").alias("fame"))
     crowded = written(crowded.select("band", "doc_id", "leader").join(fame, "doc_id"), "known")
 
-    left = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), *(F.col(o).alias(f"a{o}") for o in _ODD))
-    right = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), *(F.col(o).alias(f"b{o}") for o in _ODD))
-    differ = sum((F.bit_count(F.col(f"a{o}").bitwiseXOR(F.col(f"b{o}"))) for o in _ODD), F.lit(0))
+    left = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), *(F.col(o).alias(f"a{o}") for o in _ODD + _SET))
+    right = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), *(F.col(o).alias(f"b{o}") for o in _ODD + _SET))
+    differ, apart = (
+        sum((F.bit_count(F.col(f"a{o}").bitwiseXOR(F.col(f"b{o}"))) for o in sketch), F.lit(0)) for sketch in (_ODD, _SET))
     alike = (
         (100 * F.least("na", "nb") >= similarity_percent * F.greatest("na", "nb"))
         & (differ <= sketch_limit(similarity_percent / 100))
+        # A link's sets differ in (100 - p) / (100 + p) of their summed sizes at most, their sketches in no more bits.
+        & ((100 + similarity_percent) * apart <= (100 - similarity_percent) * (F.col("na") + F.col("nb")))
     )
     spokes = crowded.where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
     spokes = written(spokes.join(left, "a").join(right, "b").where(alike).select("a", "b"), "spokes")
@@ -208,7 +222,7 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
     second = written(_verified(hubs, texts, shingle, similarity_percent), "links-2")
 
     rest = mixed(first.unionByName(second), "groups-2").drop("hub", "hub_component", "fame").join(reps, "doc_id")
-    own = lambda p: [F.col(x).alias(f"{p}{x}") for x in _ODD] + [F.col("doc_id").alias(p), F.col("component").alias(f"c{p}"), F.col("n_shingles").alias(f"n{p}"), F.col("bands").alias(f"bands_{p}")]
+    own = lambda p: [F.col(x).alias(f"{p}{x}") for x in _ODD + _SET] + [F.col("doc_id").alias(p), F.col("component").alias(f"c{p}"), F.col("n_shingles").alias(f"n{p}"), F.col("bands").alias(f"bands_{p}")]
     odd = rest.where("component <> main").select("band", *own("a"))
     every = rest.select("band", *own("b"))
     # A pair that shares several buckets comes out of the first of them only.
