@@ -169,10 +169,10 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
     members = written(once.select("doc_id", "s.*"), "members")
     classes = members.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     reps = written(
-        full.join(classes, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"]).drop("digest"), "representatives"
+        full.join(classes, ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"]).drop("digest"), "representatives"
     )
 
-    entries = reps.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
+    entries = reps.select("doc_id", F.explode("bands").alias("band"))
     stars = entries.groupBy("band").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1")
     crowded = written(entries.join(stars.select("band", "leader", "n"), "band"), "buckets")
     # Who shares the most buckets with the most others: the text that near copies were made from stands out.
@@ -221,13 +221,12 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
     hubs = sifted(outside.join(left, "a").join(right, "b").where(alike), [spokes], "hubs")
     second = written(_verified(hubs, texts, shingle, similarity_percent), "links-2")
 
-    rest = mixed(first.unionByName(second), "groups-2").drop("hub", "hub_component", "fame").join(reps, "doc_id")
-    own = lambda p: [F.col(x).alias(f"{p}{x}") for x in _ODD + _SET] + [F.col("doc_id").alias(p), F.col("component").alias(f"c{p}"), F.col("n_shingles").alias(f"n{p}"), F.col("bands").alias(f"bands_{p}")]
+    rest = mixed(first.unionByName(second), "groups-2").drop("hub", "hub_component", "fame").join(reps.drop("bands"), "doc_id")
+    own = lambda p: [F.col(x).alias(f"{p}{x}") for x in _ODD + _SET] + [F.col("doc_id").alias(p), F.col("component").alias(f"c{p}"), F.col("n_shingles").alias(f"n{p}")]
     odd = rest.where("component <> main").select("band", *own("a"))
     every = rest.select("band", *own("b"))
-    # A pair that shares several buckets comes out of the first of them only.
-    shared = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("band")
-    more = odd.join(every, "band").where((F.col("ca") != F.col("cb")) & alike & shared)
+    # A pair comes out of each bucket that it shares; ``sifted`` folds these rows before any text is read.
+    more = odd.join(every, "band").where((F.col("ca") != F.col("cb")) & alike)
     more = sifted(more, [spokes, hubs], "more")
     third = written(_verified(more, texts, shingle, similarity_percent), "links-3")
     groups = components(first.unionByName(second).unionByName(third), "groups-3")
