@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from kindred.llm.common import bounded_batches
 
 #: Entries that a memo holds before it starts anew.
-MEMO = 500_000
+MEMO = 250_000
 _LOAD = 4  # keys to a bucket of the perfect hash, on average
 
 
@@ -223,17 +223,6 @@ class Encoder:
 _shipped: dict[tuple, object] = {}
 
 
-_encoders: dict[int, tuple[Vocabulary, Encoder]] = {}
-
-
-def encoder_of(vocabulary: Vocabulary) -> Encoder:
-    """The Python worker's encoder: tasks that follow one another in a worker share its memos."""
-    if id(vocabulary) not in _encoders:
-        _encoders.clear()
-        _encoders[id(vocabulary)] = vocabulary, Encoder(vocabulary)
-    return _encoders[id(vocabulary)][1]
-
-
 def load(spark: SparkSession, path: str, pattern: str):
     """Broadcast vocabulary; built once per application and vocabulary."""
     key = (spark.sparkContext.applicationId, path, pattern)
@@ -254,7 +243,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     @F.arrow_udf("array<int>")
     def ids(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = encoder_of(shipped.value)
+        encoder = Encoder(shipped.value)  # its memos end with the task: reused workers run other stages too
         for part in parts:
             yield encoder.column(part)
 
