@@ -1,5 +1,6 @@
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +40,16 @@ def test_near_duplicates(odd, empty):
     assert odd_minhash.near_duplicates(empty).count() == 0
 
 
+def test_set_sketches_differ_in_no_more_bits_than_the_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 40, 600, 5000):
+        base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        for swapped in (0, n // 7, n):
+            other = np.unique(np.concatenate([base[swapped:], rng.integers(0, 2**64, swapped, dtype=np.uint64)]))
+            bits = np.bitwise_count((odd_minhash.set_sketch(base) ^ odd_minhash.set_sketch(other)).view(np.uint64)).sum()
+            assert bits <= np.setxor1d(base, other).size
+
+
 def test_line_dedup(spark, odd, empty):
     shared = [(i, f"  Shared LINE\nown {i}\n\nshared line ", "en", "a") for i in range(10)] + [(20, "shared line", "en", "a")]
     got = by_id(line_dedup.line_dedup(documents(spark, shared)))
