@@ -1,9 +1,10 @@
 """Mixing sources to target weights by a low-discrepancy schedule, DataFrame functions only.
 
-Slot ``j`` of the mix owns the golden-ratio point ``frac(j * phi)``, which the cumulative target weights map to
-a source; the slot's rank among its source's slots names the block of that source that it takes. A
-source's documents, shuffled by a digest of their id, form one stream of words cut into equal blocks,
-run through ``max_repeats`` times at most; slots join blocks on (source, block).
+Slot ``j`` of the mix owns the golden-ratio point ``frac(j * phi)``, which the sources' cumulative shares of the
+slots map to a source; the slot's rank among its source's slots names the block of that source that it takes.
+A source's documents, shuffled by a digest of their id, form one stream of words cut into equal blocks,
+run through ``max_repeats`` times at most; slots join blocks on (source, block). Sources with small targets have
+shorter blocks and so more slots a word, else they would get a whole block or none.
 
 Scale: the texts are read once, for their sizes. Every running sum is in two levels (inside buckets, then
 over the few bucket totals), so that a source with a third of all documents is no single task's work, and
@@ -28,12 +29,17 @@ def word_count(text: Column) -> Column:
     return F.when(text.isNull() | (plain == ""), F.lit(0).cast("long")).otherwise(pieces)
 
 
-def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeats: int = 2) -> DataFrame:
-    """``source, source_size, weight, target, low, high`` per source; [low, high) is its part of the weights.
+def targets(
+    sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeats: int = 2,
+    block_words: int = 4096, least_slots: int = 65_536, source_slots: int = 128,
+) -> DataFrame:
+    """``source, source_size, weight, target, block, low, high, n_slots`` per source; [low, high) is its part of the slots.
 
     Sources in code point order, null last, take ``weights`` in turn. ``share`` times all words are dealt
     by weight; a target stops at ``max_repeats`` times its source's size and the excess goes to the
     others by weight until none is above: with sources ordered by size over weight, those that stop are a prefix.
+    ``block``: ``block_words``, less where the whole mix would have under ``least_slots`` slots or the source itself
+    under ``source_slots`` otherwise; a word at least.
     """
     by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -53,12 +59,17 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: flo
     by = by.withColumn("final", F.min(F.when(~stops, F.struct(F.col("cap") / F.col("weight"), "level"))).over(everything)["level"])
     by = by.withColumn("target", F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("final") * F.col("weight"))))
     run = Window.orderBy(F.col("source").asc_nulls_last())
-    by = by.withColumn("upto", F.sum("target").over(run))
-    all_targets = F.sum("target").over(everything)
+    longest = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.sum("target").over(everything) / least_slots)))
+    by = by.withColumn("longest", longest)
+    by = by.withColumn("block", F.greatest(F.lit(1), F.least("longest", F.floor(F.col("target") / source_slots))))
+    # Where all blocks are equal, the parts of the slots are those of the targets to the last bit.
+    by = by.withColumn("part", F.col("target") * (F.col("longest") / F.col("block")))
+    by = by.withColumn("upto", F.sum("part").over(run))
+    all_parts = F.sum("part").over(everything)
     return by.select(
-        "source", "source_size", "weight", "target",
-        ((F.col("upto") - F.col("target")) / all_targets).alias("low"), (F.col("upto") / all_targets).alias("high"),
-        all_targets.alias("all_targets"),
+        "source", "source_size", "weight", "target", "block",
+        ((F.col("upto") - F.col("part")) / all_parts).alias("low"), (F.col("upto") / all_parts).alias("high"),
+        F.floor(all_parts / F.col("longest")).alias("n_slots"),
     )
 
 
@@ -103,30 +114,28 @@ def _streams(sizes: DataFrame, seed: str, per_bucket: int = 50_000) -> DataFrame
 
 def plan(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_repeats: int = 2,
-    block_words: int = 4096, least_slots: int = 65_536, seed: str = "mix",
+    block_words: int = 4096, least_slots: int = 65_536, source_slots: int = 128, seed: str = "mix",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sizes, targets, pieces) of the mix of ``docs``.
 
     pieces: ``slot, row, doc_id, source, epoch, begin, words``: slot by slot, the words [begin, begin + words) that
     the mix takes of a document. Blocks have ``block_words`` words, fewer where a small corpus would have under
-    ``least_slots`` slots otherwise. A slot that ends past a source's last repeat is cut there.
+    ``least_slots`` slots or a small source under ``source_slots`` otherwise. A slot that ends past a source's last repeat is cut there.
     """
     sizes = docs.select(
         F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
     sizes = written(sizes.withColumn("row", F.monotonically_increasing_id()), "sizes")
-    mix = written(targets(sizes, weights, share, max_repeats), "targets")
-    total = mix.agg(F.max("all_targets")).first()[0] or 0.0
-    block = max(1, min(block_words, int(total // least_slots)))
-    taken = written(slots(mix, int(total // block)), "slots")
+    mix = written(targets(sizes, weights, share, max_repeats, block_words, least_slots, source_slots), "targets")
+    taken = written(slots(mix, mix.agg(F.max("n_slots")).first()[0] or 0), "slots")
     streams = _streams(sizes, seed)
-    span = mix.select(F.col("source").alias("s"), "source_size")
+    span = mix.select(F.col("source").alias("s"), "source_size", F.col("block").alias("length"))
     parts = streams.where("size > 0").join(span, F.col("source").eqNullSafe(F.col("s"))).select(
-        "row", "doc_id", "source", "size", "start", "source_size", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("epoch"))
+        "row", "doc_id", "source", "size", "start", "source_size", "length", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("epoch"))
     parts = parts.withColumn("start", F.col("start") + F.col("epoch") * F.col("source_size"))
     parts = parts.withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
-    begin = F.greatest(F.col("start"), F.col("block") * block)
-    end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
+        F.floor(F.col("start") / F.col("length")), F.floor((F.col("start") + F.col("size") - 1) / F.col("length")))))
+    begin = F.greatest(F.col("start"), F.col("block") * F.col("length"))
+    end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("length"))
     parts = parts.select(
         "row", "doc_id", "source", "epoch", "block", (begin - F.col("start")).alias("begin"), (end - begin).alias("words"))
     ranks = taken.select("slot", F.col("source").alias("s"), F.col("rank"))

@@ -95,6 +95,20 @@ def test_mix(spark, odd, empty):
     assert mixing.mixed_sizes(empty).count() == 0
 
 
+def test_mix_gives_small_sources_beside_large_ones_their_targets(spark):
+    import corpus_pipeline
+
+    docs = spark.range(180).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), F.when(F.col("id") < 80, 100_000).otherwise(30)).alias("text"), F.lit("en").alias("lang"),
+        F.concat(F.when(F.col("id") < 80, "large").otherwise("small"), F.when(F.col("id") < 80, F.col("id") % 4).otherwise(F.col("id"))).alias("source"), F.lit(0).cast("long").alias("n_chars"))
+    taken = {}
+    for r in mixing.mixed_sizes(docs).collect():
+        got = taken.setdefault(r["doc_id"] if r["doc_id"] >= 80 else -1 - r["doc_id"] % 4, [0, r["target"]])
+        got[0] += r["taken"]
+    assert len(taken) == 104 and all(abs(t - goal) <= max(2, 0.02 * goal) for t, goal in taken.values())
+    assert corpus_pipeline.mix(spark, docs, "").where("doc_id >= 80").count() == 200
+
+
 def test_bpe_equals_the_public_encoder(odd, empty):
     tiktoken = pytest.importorskip("tiktoken")
     public = pytest.importorskip("public_tokenizers")
