@@ -156,3 +156,18 @@ def test_cosine_prefix_loses_nothing(spark):
                 key = (a["entity_id"], b["entity_id"])
                 full[key] = full.get(key, 0) + a["w"] * b["w"]
     assert got == pytest.approx({k: v for k, v in full.items() if v >= 0.25})
+
+
+def test_document_view_reads_whole_texts(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from kindred.plans.views import DOCUMENTS, view
+
+    rows = [(0, "first\nsecond\n\nfourth é\nlast", "en"), (3, "only", "en"), (6, "\nrest\n", "fr"), (9, "", "en"), (12, None, "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    want = {"S1-0": ("first", "second\n\nfourth é\nlast"), "S1-3": ("only", ""), "S1-6": ("", "rest\n"), "S1-9": ("", ""), "S1-12": (None, None)}
+    got = view(spark, str(tmp_path), DOCUMENTS["s1"]).collect()
+    assert {r["entity_id"]: (r["business_name"], r["business_address"]) for r in got} == want
+    with duckdb.connect() as con:
+        con.execute("create table documents (doc_id bigint, text varchar, lang varchar)")
+        con.executemany("insert into documents values (?, ?, ?)", rows)
+        assert {r[0]: r[1:3] for r in con.execute(DOCUMENTS["s1"]).fetchall()} == want
