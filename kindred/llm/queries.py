@@ -41,7 +41,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
+    return unit_dedup.repeated_spans(read_table(spark, sf_dir, "documents"), within_document=True)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

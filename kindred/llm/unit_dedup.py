@@ -103,15 +103,15 @@ def repeated_spans(
     docs = docs.where("doc_id is not null and text is not null")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = written(docs.mapInArrow(_cut(units, window), _UNITS), "units")
-    firsts = found.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("last"), F.count("*").alias("n")
-    )
-    other = "n > 1" if within_document else "last > kept_doc_id"
-    again = found.join(firsts.where(other).select("h1", "h2", "kept_doc_id"), ["h1", "h2"])
+    by = found.groupBy("h1", "h2")
     if within_document:
-        mine = found.groupBy("h1", "h2", "doc_id").agg(F.min("unit").alias("first_unit"))
-        again = again.join(mine, ["h1", "h2", "doc_id"]).where("doc_id <> kept_doc_id or unit > first_unit")
+        # Document and unit in one number: a struct would have the units sorted to aggregate them.
+        place = (F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("unit")).cast("decimal(38,0)")
+        firsts = by.agg(F.min("doc_id").alias("kept_doc_id"), F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        again = found.join(firsts, ["h1", "h2"]).where(place > F.col("first"))
     else:
+        firsts = by.agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("last")).where("last > kept_doc_id").drop("last")
+        again = found.join(firsts, ["h1", "h2"])
         again = again.where("doc_id <> kept_doc_id")
     again = again.select("doc_id", "unit", "n_words", "start", "stop", "kept_doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy("unit", "start")

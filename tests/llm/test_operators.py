@@ -79,6 +79,21 @@ def test_repeated_spans(spark, odd, empty):
     assert unit_dedup.repeated_spans(empty).count() == 0
 
 
+def test_substring_dedup_reports_repeats_inside_a_document(spark, tmp_path):
+    from kindred.llm import queries
+
+    passage = " ".join(f"p{i}" for i in range(80))
+    filler = lambda k: " ".join(f"f{k}x{j}" for j in range(60))
+    texts = {1: f"{filler(1)} {passage} {filler(2)} {passage} {filler(3)}", 2: f"{filler(4)} {passage} {filler(5)}",
+             3: f"{filler(6)} {filler(7)} {filler(6)}", 4: f"{filler(8)} {filler(9)}"}
+    docs = documents(spark, [(k, t, "en", "a") for k, t in texts.items()] + [(3, texts[3], "en", "a")])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op5_substring_dedup(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["kept_doc_id"]) for r in got) == [(1, 1), (2, 1), (3, 3)]
+    again = {1: texts[1].rindex("p0 "), 2: texts[2].index("p0 "), 3: texts[3].rindex("f6x0 ")}
+    assert all(r["start"] >= again[r["doc_id"]] and r["n_words"] >= 19 for r in got)
+
+
 def test_mix(spark, odd, empty):
     rows = [(i, " ".join(["w"] * (50 + i % 40)), "en", f"s{i % 5}") for i in range(400)]
     got = mixing.mixed_sizes(documents(spark, rows)).collect()
