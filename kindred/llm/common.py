@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +20,22 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 _own_dirs: dict[str, str] = {}
+#: Folders of the tables written so far, by application.
+_tables: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``. In local mode alone, a temporary one where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
-        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="kindred-")
+        own = tempfile.mkdtemp(prefix="kindred-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _own_dirs[app] = f"file://{own}"
     return _own_dirs[app]
 
 
@@ -33,11 +43,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: its lineage ends there.
 
     Lost executors cost only the tasks that read the table, and a table that several branches read
-    is computed once.
+    is computed once. ``scratch`` removes the tables written inside it.
     """
-    path = f"{shared_dir(df.sparkSession)}/kindred/{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/kindred/{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    df.write.parquet(f"{folder}/{label}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{label}")
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the tables written inside it: for callers that have stored what they want by then."""
+    made = _tables.setdefault(spark.sparkContext.applicationId, [])
+    before = len(made)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for folder in made[before:]:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        del made[before:]
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -56,33 +83,53 @@ def lower_ascii(col):
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
+def roughly_among(rows: DataFrame, ids: DataFrame, key: str, most_bits: int = 1 << 27) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among the written ``ids``, before anything is shuffled.
+
+    A bitmap of hashed ids, of 16 bits an id and ``most_bits`` (16 MB) at most, is broadcast. Hash collisions let
+    rows through, more of them the fuller the bitmap; a row whose key is among the ids always stays.
+    """
+    bits = max(1 << 16, min(most_bits, 1 << (16 * ids.count()).bit_length()))
+    at = F.pmod(F.xxhash64(key), F.lit(bits).cast("long"))
+    part, place = F.shiftright(at, 15), at.bitwiseAND(F.lit((1 << 15) - 1))
+    maps = ids.select(part.alias("part"), place.alias("place")).repartition("part")  # else every task would send whole bitmaps
+    maps = maps.groupBy("part").agg(F.bitmap_construct_agg("place").alias("bitmap"))
+    byte = F.conv(F.hex(F.substring("bitmap", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (place.bitwiseAND(F.lit(7)) + 1).cast("int"))) != 0
+    return rows.join(F.broadcast(maps), (part == F.col("part")) & hit, "left_semi")
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge, to a node that is no larger end itself."""
+    if edges.groupBy("a").count().where("count > 1").limit(1).count():
+        return False
+    return not edges.select("b").join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count()
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of undirected ``edges(a, b)``: rows ``(node, component)``.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014) with every round's edges
     written to the shared folder. Rows: every node on some edge, with its component's smallest id.
-    A hot node only ever meets its edges through a partial aggregate and a join that adaptive
-    execution can split. Self-loops and null ends are ignored; no edges give no rows.
+    A hot node only ever meets its edges through a partial aggregate and a join with a table of least
+    neighbours, which adaptive execution can split. Self-loops and null ends are ignored; no edges give no rows.
     """
     edges = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         f"{label}-0",
     )
-    before, step = None, 0
-    while True:
+    step = 0
+    while not _all_stars(edges):
         step += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = written(least, f"{label}-{step}-large")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = written(large.where("a <> b").distinct(), f"{label}-{step}-stars")
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), f"{label}-{step}-small")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         edges = written(
             small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), f"{label}-{step}"
         )
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -10,7 +10,9 @@ the sets differ in shingles, so it rejects pairs of short and middling texts wit
 Scale: exact copies collapse to one representative before any band is built; a band's bucket is
 compared with its smallest member first (a star, never all pairs); members that the star left in another
 component meet their bucket's best-known member, and what is still outside meets the rest of the
-bucket, behind the sketch. Text is shuffled once.
+bucket, behind the sketches. Only texts of pairs that pass both sketches move: a bitmap of their ids drops
+the others where they are read, and each goes to the blocks of at most about ``TOGETHER`` members in which a
+leader is compared.
 """
 
 from __future__ import annotations
@@ -23,13 +25,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import bounded_batches, components, written
+from kindred.llm.common import bounded_batches, components, roughly_among, written
 from kindred.llm.texthash import U, mix, seeds, shingles, words
 
 SAMPLES, ROWS, SKETCH_WORDS = 128, 4, 8
 _BITS = 64 * SKETCH_WORDS
 #: 64-bit words of the odd sketch of the whole set.
 SET_WORDS = 16
+#: Members compared with one copy of their leader's text.
+TOGETHER = 256
 #: Rounds in which an element draws its sample at random; samples still empty then see every element.
 _ROUNDS = 16
 _SEED, _REST = seeds(_ROUNDS, 1), seeds(SAMPLES, 2)
@@ -78,11 +82,16 @@ def sketch_limit(similarity: float, sigmas: float = 5.0) -> int:
     return int(_BITS / 2 * (1 - (1 - 2 / _BITS) ** gone) + sigmas * 2)
 
 
-_SIGNED = "doc_id long, digest binary, n_shingles long, bands array<long>, " + ", ".join(f"{o} long" for o in _ODD + _SET)
+_SIGNED = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>, " + ", ".join(f"{o} long" for o in _ODD + _SET)
+
+
+def _digest(w: np.ndarray) -> tuple[int, int]:
+    """Both halves of a 128-bit digest of the word sequence, as signed numbers."""
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(w.tobytes()), np.int64).tolist())
 
 
 def _sign(shingle: int):
-    names = ["doc_id", "digest", "n_shingles", "bands", *_ODD, *_SET]
+    names = ["doc_id", "d1", "d2", "n_shingles", "bands", *_ODD, *_SET]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,7 +99,7 @@ def _sign(shingle: int):
             for text in batch.column(1).to_pylist():
                 w = words(text)[0]
                 grams = shingles(w, shingle)
-                digests.append(xxhash.xxh3_128_digest(w.tobytes()) if w.size else None)
+                digests.append(_digest(w) if w.size else (None, None))
                 sizes.append(grams.size)
                 if grams.size:
                     s = samples(grams)
@@ -106,7 +115,7 @@ def _sign(shingle: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
-                    pa.array(digests, pa.binary()),
+                    *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)),
                     pa.array(sizes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                     *(pa.array(odds[:, i].copy()) for i in range(odds.shape[1])),
@@ -118,36 +127,34 @@ def _sign(shingle: int):
 
 
 def _confirm(shingle: int, percent: int):
-    """Keep the pairs whose full sets have 100 * |A & B| >= percent * |A | B|."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}
+    """Links of leaders with members whose full sets have 100 * |A & B| >= percent * |A | B|.
 
-        def grams(doc: int, text: str) -> np.ndarray:
-            if doc not in known:
-                while len(known) >= 8:  # pairs of one leader come together
-                    known.pop(next(iter(known)))
-                known[doc] = shingles(words(text)[0], shingle)
-            return known[doc]
+    Rows come sorted by leader and block, the leader's text first. A text with another digest than the
+    one that was signed is another row of the same id and is passed over.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lead = None, None
         for batch in batches:
-            a, b, ta, tb = (batch.column(i).to_pylist() for i in range(4))
-            keep = []
-            for i in range(len(a)):
-                y, x = grams(b[i], tb[i]), shingles(words(ta[i])[0], shingle)
-                both = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(100 * both >= percent * (x.size + y.size - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            found = []
+            for doc, leader, block, member, d1, d2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if member and (leader, block) != held:
+                    continue  # the leader's signed text comes first, wherever it exists
+                w = words(text)[0]
+                if not w.size or _digest(w) != (d1, d2):
+                    continue
+                x = shingles(w, shingle)
+                if not member:
+                    held, lead = (leader, block), x
+                    continue
+                both = np.intersect1d(x, lead, assume_unique=True).size
+                if 100 * both >= percent * (x.size + lead.size - both):
+                    found.append((doc, leader))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    both = both.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(_confirm(shingle, percent), "a long, b long")
-
-
 def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int = 5) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of ``similarity_percent`` or more.
 
@@ -162,15 +169,15 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(docs.mapInArrow(_sign(shingle), _SIGNED), "signed")
-
-    full = signed.where("digest is not null and doc_id is not null")
-    once = full.groupBy("doc_id").agg(F.min(F.struct("digest", "n_shingles")).alias("s"))
-    members = written(once.select("doc_id", "s.*"), "members")
-    classes = members.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    reps = written(
-        full.join(classes, ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"]).drop("digest"), "representatives"
-    )
+    signed = written(docs.mapInArrow(_sign(shingle), _SIGNED).withColumn("row", F.monotonically_increasing_id()), "signed")
+
+    full = signed.where("d1 is not null and doc_id is not null")
+    once = full.groupBy("doc_id").agg(F.min(F.struct("d1", "d2", "row", "n_shingles")).alias("s"))
+    members = written(once.select("doc_id", "s.d1", "s.d2", "s.row", "s.n_shingles"), "members")
+    # A table of its own, so that the joins with it can split a digest that very many copies share.
+    classes = members.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row")).alias("m"))
+    classes = written(classes.select("d1", "d2", F.col("m.doc_id").alias("rep"), "m.row"), "classes")
+    reps = written(signed.join(classes.select("row"), "row", "left_semi").drop("row", "d1", "d2"), "representatives")
 
     entries = reps.select("doc_id", F.explode("bands").alias("band"))
     stars = entries.groupBy("band").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1")
@@ -189,14 +196,24 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
         # A link's sets differ in (100 - p) / (100 + p) of their summed sizes at most, their sketches in no more bits.
         & ((100 + similarity_percent) * apart <= (100 - similarity_percent) * (F.col("na") + F.col("nb")))
     )
+    signs = members.select("doc_id", "d1", "d2")
+
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        """Links among the written ``pairs(a, b)``, b the leader. Reads the texts of their documents alone."""
+        large = written(pairs.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > TOGETHER), f"{label}-large")
+        block = F.pmod(F.xxhash64("a"), F.coalesce(F.ceil(F.col("n") / TOGETHER), F.lit(1)))
+        dealt = pairs.join(large, "b", "left").select("a", "b", block.alias("block"))
+        asked = dealt.select(F.col("a").alias("doc_id"), F.col("b").alias("leader"), "block", F.lit(True).alias("member"))
+        asked = asked.unionByName(dealt.select(F.col("b").alias("doc_id"), F.col("b").alias("leader"), "block", F.lit(False).alias("member")).distinct())
+        asked = written(asked.join(signs, "doc_id"), f"{label}-asked")
+        texts = roughly_among(docs, asked.select("doc_id"), "doc_id").join(asked, "doc_id")
+        texts = texts.repartition("leader", "block").sortWithinPartitions("leader", "block", "member")
+        texts = texts.select("doc_id", "leader", "block", "member", "d1", "d2", "text")
+        return written(texts.mapInArrow(_confirm(shingle, similarity_percent), "a long, b long"), label)
+
     spokes = crowded.where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
     spokes = written(spokes.join(left, "a").join(right, "b").where(alike).select("a", "b"), "spokes")
-
-    # One pass over the texts: those of documents that stand in any crowded bucket.
-    needed = crowded.select("doc_id").distinct()
-    texts = written(docs.join(needed, "doc_id", "left_semi").join(
-        members.select("doc_id", "digest"), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text"), "texts")
-    first = written(_verified(spokes, texts, shingle, similarity_percent), "links-1")
+    first = verified(spokes, "links-1")
 
     # Buckets whose members the stars left in several components. Those outside a bucket's most common
     # component first meet the bucket's best-known member; those still outside then meet all others of
@@ -219,7 +236,7 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
 
     outside = mixed(first, "groups-1").where("component <> hub_component").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     hubs = sifted(outside.join(left, "a").join(right, "b").where(alike), [spokes], "hubs")
-    second = written(_verified(hubs, texts, shingle, similarity_percent), "links-2")
+    second = verified(hubs, "links-2")
 
     rest = mixed(first.unionByName(second), "groups-2").drop("hub", "hub_component", "fame").join(reps.drop("bands"), "doc_id")
     own = lambda p: [F.col(x).alias(f"{p}{x}") for x in _ODD + _SET] + [F.col("doc_id").alias(p), F.col("component").alias(f"c{p}"), F.col("n_shingles").alias(f"n{p}")]
@@ -228,13 +245,12 @@ def near_duplicates(docs: DataFrame, similarity_percent: int = 75, shingle: int
     # A pair comes out of each bucket that it shares; ``sifted`` folds these rows before any text is read.
     more = odd.join(every, "band").where((F.col("ca") != F.col("cb")) & alike)
     more = sifted(more, [spokes, hubs], "more")
-    third = written(_verified(more, texts, shingle, similarity_percent), "links-3")
-    groups = components(first.unionByName(second).unionByName(third), "groups-3")
+    third = verified(more, "links-3")
+    groups = written(components(first.unionByName(second).unionByName(third), "groups-3").withColumnRenamed("node", "rep"), "groups")
 
-    labelled = members.join(classes.withColumnRenamed("doc_id", "rep"), "digest")
-    labelled = labelled.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = labelled.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    alone = signed.where("digest is null or doc_id is null").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
+    named = classes.join(groups, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+    labelled = members.join(written(named, "named"), ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
+    alone = signed.where("d1 is null or doc_id is null").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
     alone = alone.join(members, "doc_id", "left_anti").withColumn("component_id", F.col("doc_id"))
     out = labelled.unionByName(alone.select("doc_id", "n_shingles", "component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

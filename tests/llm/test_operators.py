@@ -238,3 +238,63 @@ def test_pipeline(spark, tmp_path, monkeypatch):
     assert ids <= {None, *range(12)} and len(ids) >= 10 and None in ids and all(r["exact"] and r["n_tokens"] for r in out)
     assert len(corpus_pipeline.STAGES) == 5
 
+
+
+def test_repeated_ids_keep_their_links_in_any_row_order(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (1, a)]
+    seen = set()
+    for turned in (rows, rows[::-1]):
+        for parts in (1, 3):
+            df = documents(spark, [(*r, "en", "s") for r in turned]).repartition(parts)
+            seen.add(tuple(sorted((r["doc_id"], r["component_id"]) for r in odd_minhash.near_duplicates(df).collect())))
+    assert len(seen) == 1 and next(iter(seen)) in {((1, 1), (2, 1), (3, 3)), ((1, 1), (2, 2), (3, 1))}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    words_ = [f"w{i}" for i in range(300)]
+    texts = {}
+    for base in range(6):
+        own = [rng.choice(words_) for _ in range(rng.choice((3, 40, 90, 200)))]
+        for copy in range(12):
+            w = list(own)
+            for _ in range(rng.choice((0, 0, 1, 2, 4, 8))):
+                w[rng.randrange(len(w))] = rng.choice(words_)
+            texts[base * 100 + copy] = " ".join(w).upper() if copy % 3 else "\n".join(w)
+
+    def grams(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {k: grams(t) for k, t in texts.items()}
+    root = {k: k for k in texts}
+    for x in texts:
+        for y in texts:
+            if 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+                low, high = sorted((root[x], root[y]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    got = by_id(odd_minhash.near_duplicates(documents(spark, [(k, t, "en", "a") for k, t in texts.items()])))
+    assert {k: r["component_id"] for k, r in got.items()} == root
+    assert {k: r["n_shingles"] for k, r in got.items()} == {k: len(s) for k, s in sets.items()}
+
+
+def test_rough_filter_keeps_every_asked_id(spark):
+    from kindred.llm.common import roughly_among, written
+
+    ids = written(spark.range(0, 5000, 7).select(F.col("id").alias("k")), "ids")
+    for most in (1 << 27, 1 << 16, 1 << 15):
+        got = {r["k"] for r in roughly_among(spark.range(100_000).select(F.col("id").alias("k")), ids, "k", most).collect()}
+        assert got >= set(range(0, 5000, 7)) and (len(got) < 25_000)
+    assert roughly_among(spark.range(10).select(F.col("id").alias("k")), ids.limit(0), "k").count() == 0
+
+
+def test_components_of_paths_and_hubs(spark):
+    from kindred.llm.common import components
+
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 300), (300, 250), (None, 3)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {i: 200 for i in (200, 250, 300)}
