@@ -43,28 +43,40 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: its lineage ends there.
 
     Lost executors cost only the tasks that read the table, and a table that several branches read
-    is computed once. ``scratch`` removes the tables written inside it.
+    is computed once. Tables go when the driver's Python ends; ``scratch`` removes those written inside it before.
     """
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/kindred/{uuid.uuid4().hex}"
-    _tables.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    app = spark.sparkContext.applicationId
+    if app not in _tables:
+        _tables[app] = []
+        atexit.register(_remove, spark, _tables[app])
+    _tables[app].append(folder)
     df.write.parquet(f"{folder}/{label}")
     return spark.read.schema(df.schema).parquet(f"{folder}/{label}")
 
 
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes folders, as far as the application is still there."""
+    with contextlib.suppress(Exception):
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        while folders:
+            path = jvm.org.apache.hadoop.fs.Path(folders.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes, at its end, the tables written inside it: for callers that have stored what they want by then."""
-    made = _tables.setdefault(spark.sparkContext.applicationId, [])
-    before = len(made)
+    app = spark.sparkContext.applicationId
+    before = len(_tables.get(app, []))
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        for folder in made[before:]:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        made = _tables.get(app, [])
+        inside = made[before:]
         del made[before:]
+        _remove(spark, inside)
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -1,10 +1,13 @@
 """Line dedup on range-partitioned hashes, DataFrame functions only.
 
-Every line's key becomes a 128-bit digest. (digest, document, position) triples are dealt out by
-*range* over digest and document and sorted within each partition, so a line that a third of all
-documents share spreads over many neighbouring ranges; the sorted stream shows each document's first
-occurrence of a digest. Document counts leave each range as partial aggregates. What comes
-back per document is a keep bitmap in run-length form, a few numbers however long the text is.
+Every line's key becomes a 128-bit digest. (digest, document, position) rows are written once, dealt out by *range*
+over the digest and sorted by digest, document and position; the sorted stream shows each document's first occurrence of a
+digest, and with it how many documents hold it, so rows are kept or dropped where they stand. What comes back
+per document is a keep bitmap in run-length form, a few numbers however long the text is.
+
+Scale: texts are read twice, once for digests and once to apply the bitmaps; the text itself moves once. A digest
+with more than one in ``HOT`` of all lines (and over ``EASY``), of which there can be ``HOT`` at most, would make one range too large:
+such digests are counted by partial aggregates and decided by a broadcast, and leave the stream before it is dealt out.
 """
 
 from __future__ import annotations
@@ -12,7 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import BLANKS, lower_ascii
+from kindred.llm.common import BLANKS, lower_ascii, written
+
+HOT = 4096
+#: Rows of a digest that are never too many for one range.
+EASY = 1000
+#: Groups of digests counted to find those that can hold a hot one: few rows a task, four times as many as ``HOT``.
+_GROUPS = 4 * HOT
 
 
 def line_keys(text: Column) -> Column:
@@ -21,26 +30,32 @@ def line_keys(text: Column) -> Column:
     return F.transform(lines, lambda line: F.btrim(line, F.lit(BLANKS)))
 
 
-def occurrences(docs: DataFrame, min_chars: int, partitions: int) -> DataFrame:
+def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """(digest, doc_id, pos) of the lines whose key has at least ``min_chars`` code points."""
     lines = docs.select("doc_id", F.posexplode(line_keys(F.col("text"))).alias("pos", "key"))
     lines = lines.where(F.char_length("key") >= min_chars)
-    lines = lines.select(F.unhex(F.md5("key")).alias("digest"), "doc_id", "pos")
-    ranged = lines.repartitionByRange(partitions, "digest", "doc_id")
-    return ranged.sortWithinPartitions("digest", "doc_id", "pos")
+    return lines.select(F.unhex(F.md5("key")).alias("digest"), "doc_id", "pos")
 
 
-def first_occurrences(docs: DataFrame, min_chars: int = 1, partitions: int | None = None) -> DataFrame:
-    """One row per digest: documents that hold it, and its earliest (doc_id, pos)."""
-    partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _firsts(occurrences(docs, min_chars, partitions))
+def hot_digests(lines: DataFrame) -> DataFrame:
+    """``digest, n_docs, first`` of the digests with over one in ``HOT`` of the rows of the written ``lines``, and over ``EASY``: ``HOT`` digests at most."""
+    least = max(EASY, lines.count() // HOT)
+    group = F.pmod(F.xxhash64("digest"), F.lit(_GROUPS))
+    # Only a group with as many rows can hold such a digest, and at most HOT groups have.
+    full = lines.groupBy(group.alias("group")).count().where(F.col("count") > least).select("group")
+    some = lines.withColumn("group", group).join(F.broadcast(full), "group", "left_semi")
+    hot = some.groupBy("digest").count().where(F.col("count") > least).select("digest")
+    per_doc = lines.join(F.broadcast(hot), "digest", "left_semi").groupBy("digest", "doc_id").agg(F.min("pos").alias("pos"))
+    return per_doc.groupBy("digest").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "pos")).alias("first"))
 
 
-def _firsts(lines: DataFrame) -> DataFrame:
-    per_doc = lines.groupBy("digest", "doc_id").agg(F.min("pos").alias("pos"))  # the ranges already group these
-    return per_doc.groupBy("digest").agg(
-        F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "pos")).alias("first")
-    )
+def sorted_stream(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``lines`` in ranges of digests, sorted, with ``n_docs`` that hold the digest and ``turn`` of the row among its digest's."""
+    ranged = lines.repartitionByRange(*([partitions] if partitions else []), "digest").sortWithinPartitions("digest", "doc_id", "pos")
+    stream = Window.partitionBy("digest").orderBy("doc_id", "pos")
+    new = F.coalesce(F.lag("doc_id").over(stream) != F.col("doc_id"), F.lit(True))
+    out = ranged.withColumns({"new": new.cast("long"), "turn": F.row_number().over(stream)})
+    return out.withColumn("n_docs", F.sum("new").over(Window.partitionBy("digest"))).drop("new")
 
 
 def keep_bitmaps(
@@ -50,18 +65,19 @@ def keep_bitmaps(
 
     dropped: array<struct<start, length>>, the zero runs of the document's keep bitmap. A key found
     in at least ``min_docs`` documents loses all its lines, or all but its earliest occurrence
-    (smallest doc_id, then position) with ``keep_first``.
+    (smallest doc_id, then position) with ``keep_first``. Rows with a null text or id lose nothing.
     """
-    partitions = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lines = occurrences(docs.where("text is not null and doc_id is not null"), min_chars, partitions)
-    frequent = _firsts(lines).where(F.col("n_docs") >= min_docs)
-    gone = lines.join(frequent.select("digest", "first"), "digest")
+    lines = written(occurrences(docs.where("text is not null and doc_id is not null"), min_chars), "lines")
+    hot = written(hot_digests(lines), "hot")
+    rest = sorted_stream(lines.join(F.broadcast(hot), "digest", "left_anti"), partitions).where(F.col("n_docs") >= min_docs)
+    often = lines.join(F.broadcast(hot.where(F.col("n_docs") >= min_docs)), "digest")
     if keep_first:
-        gone = gone.where("doc_id <> first.doc_id or pos <> first.pos")
-    gone = gone.select("doc_id", "pos").distinct()
-    order = Window.partitionBy("doc_id").orderBy("pos")
-    runs = gone.withColumn("run", F.col("pos") - F.row_number().over(order))
-    runs = runs.groupBy("doc_id", "run").agg(F.min("pos").alias("start"), F.count("*").cast("int").alias("length"))
+        rest = rest.where("turn > 1")
+        often = often.where("doc_id <> first.doc_id or pos <> first.pos")
+    gone = rest.select("doc_id", "pos").unionByName(often.select("doc_id", "pos"))
+    # Rows that share an id may name a position twice.
+    runs = gone.withColumn("run", F.col("pos") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("pos")))
+    runs = runs.groupBy("doc_id", "run").agg(F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + 1).cast("int").alias("length"))
     return runs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("dropped"))
 
 

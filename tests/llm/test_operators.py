@@ -298,3 +298,29 @@ def test_components_of_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 300), (300, 250), (None, 3)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {i: 200 for i in (200, 250, 300)}
+
+
+@pytest.mark.parametrize("easy", [1000, 3])
+def test_line_dedup_equals_brute_force(spark, monkeypatch, easy):
+    import random
+    from collections import defaultdict
+
+    monkeypatch.setattr(line_dedup, "EASY", easy)
+    rng = random.Random(4)
+    pool = [f"line {i}" for i in range(40)] + ["hot line"] * 60 + ["", "  "]
+    texts = {i: "\n".join(rng.choice(("", " ", "\t")) + rng.choice(pool).upper() for _ in range(rng.randrange(9))) for i in range(300)}
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
+    held = defaultdict(list)
+    for i, t in texts.items():
+        for p, line in enumerate(t.split("\n")):
+            if key(line):
+                held[key(line)].append((i, p))
+    for keep_first in (False, True):
+        gone = set()
+        for at in held.values():
+            if len({i for i, _ in at}) >= 4:
+                gone |= set(at) - ({min(at)} if keep_first else set())
+        want = {i: "\n".join(line for p, line in enumerate(t.split("\n")) if (i, p) not in gone) for i, t in texts.items()}
+        got = by_id(line_dedup.line_dedup(documents(spark, [(i, t, "en", "a") for i, t in texts.items()]), min_docs=4, keep_first=keep_first))
+        assert {i: r["text"] for i, r in got.items()} == want
+        assert sum(r["n_dropped"] for r in got.values()) == len(gone)
