@@ -1,9 +1,10 @@
 """HTML extraction: flat text blocks, shallow features of a block and its neighbours, a decision tree.
 
-A page becomes a flat list of text blocks. Each block has its number of words and link density, those of
-the block before and after (after Kohlschuetter, Fankhauser and Nejdl, 2010), and three marks of where it
-stands: inside an article or main element, inside an element that declares itself page furniture, and
-whether it is a heading. A decision tree grown on the small labelled table below says which blocks are text.
+A page becomes a flat list of text blocks. Each block has its number of words and link density, those of the
+blocks before and after (after Kohlschuetter, Fankhauser and Nejdl, 2010), where the page's own elements put it
+(inside or outside an article, inside navigation and the like, in a form that is not the whole page, heading, list),
+and what the labelled table says of the class and id names around it. A decision tree grown on the blocks of that
+small labelled table, real markup cut by the same code, says which blocks are text.
 
 Scale: one narrow pass; a page never leaves its task.
 """
@@ -11,7 +12,9 @@ Scale: one narrow pass; a page never leaves its task.
 from __future__ import annotations
 
 import html
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,126 +28,95 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split())
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math q rp rt ruby s samp small "
+    "span strike strong sub sup time tt u var wbr mi mn mo mrow msup msub mfrac msqrt mtext map area embed input link meta param source track".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Never text; all but the head stand inside a line of text without ending it.
 _SILENT = frozenset(
-    "script style noscript template head title iframe object svg math canvas audio video select textarea button "
-    "datalist map".split())
+    "script style noscript template head title iframe object svg canvas audio video select textarea button datalist".split())
 _RAW = frozenset("script style textarea title iframe noscript".split())
-_FURNITURE = frozenset("nav footer aside form dialog menu fieldset".split())
+_IN_HEAD = frozenset("base link meta title style script noscript template head".split())
+#: Open elements, on top of the stack, that the start of another one ends; any block ends a paragraph.
+_ENDS = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "tr": ("td", "th", "tr", "p"),
+         "option": ("option",)}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-#: Words of class and id names that declare page furniture.
-_HINTS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted banner sidebar "
-    "rail widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer foot masthead topbar toolbar "
-    "header comment comments commentlist respond reply replies discussion disqus cookie cookies consent gdpr notice "
-    "notices notification alert warning popup modal overlay newsletter subscribe subscription signup signin login "
-    "search share sharing social related recommended recommendations pagination pager copyright legal disclaimer skip "
-    "paywall toc".split())
-_READERS = frozenset("comment comments commentlist respond reply replies discussion disqus".split())
-_FRAMES = frozenset("wrap wrapper container layout page site with has no body row grid".split())
-_MAIN = frozenset("article post entry story main".split())
-_SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
-
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "furniture", "heading")
-#: Labelled blocks: FEATURES, then 1 for text of the article.
-LABELLED = [
-    # an article and its parts
-    (9, 0.0, 4, 1.0, 60, 0.0, 1, 0, 1, 1), (60, 0.0, 9, 0.0, 45, 0.1, 1, 0, 0, 1), (45, 0.1, 60, 0.0, 3, 0.0, 1, 0, 0, 1),
-    (3, 0.0, 45, 0.1, 80, 0.0, 1, 0, 1, 1), (80, 0.0, 3, 0.0, 1, 0.0, 1, 0, 0, 1), (1, 0.0, 80, 0.0, 30, 0.0, 1, 0, 0, 1),
-    (30, 0.0, 1, 0.0, 6, 0.3, 1, 0, 0, 1), (4, 1.0, 30, 0.0, 25, 0.0, 1, 0, 0, 1), (25, 0.6, 4, 1.0, 40, 0.0, 1, 0, 0, 1),
-    (2, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (12, 0.0, 3, 1.0, 8, 0.0, 1, 0, 0, 1), (7, 0.0, 12, 0.0, 2, 1.0, 1, 0, 0, 1),
-    # furniture inside and outside an article
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0, 0), (3, 1.0, 1, 1.0, 8, 0.0, 0, 1, 0, 0), (12, 0.0, 1, 1.0, 9, 0.0, 0, 1, 0, 0),
-    (40, 0.0, 30, 0.0, 20, 0.0, 0, 1, 0, 0), (90, 0.0, 40, 0.0, 0, 0.0, 0, 1, 0, 0), (25, 0.1, 60, 0.0, 30, 0.0, 1, 1, 0, 0),
-    (6, 0.0, 25, 0.1, 50, 0.0, 1, 1, 1, 0), (3, 1.0, 60, 0.0, 3, 1.0, 1, 1, 0, 0), (55, 0.0, 3, 0.0, 2, 1.0, 1, 1, 0, 0),
-    (4, 0.0, 60, 0.0, 35, 0.0, 0, 1, 1, 0), (35, 0.0, 4, 0.0, 28, 0.0, 0, 1, 0, 0), (8, 0.2, 80, 0.0, 0, 0.0, 0, 1, 0, 0),
-    # pages without such elements: long blocks, their headings and short neighbours
-    (50, 0.0, 8, 0.0, 70, 0.0, 0, 0, 0, 1), (70, 0.05, 50, 0.0, 40, 0.1, 0, 0, 0, 1), (40, 0.1, 70, 0.05, 22, 0.0, 0, 0, 0, 1),
-    (22, 0.0, 40, 0.1, 14, 0.0, 0, 0, 0, 1), (14, 0.0, 22, 0.0, 30, 0.0, 0, 0, 0, 1), (18, 0.2, 35, 0.0, 25, 0.0, 0, 0, 0, 1),
-    (8, 0.0, 2, 1.0, 50, 0.0, 0, 0, 1, 1), (5, 0.0, 44, 0.0, 52, 0.0, 0, 0, 1, 1), (6, 0.0, 48, 0.0, 33, 0.0, 0, 0, 0, 1),
-    (3, 0.0, 30, 0.1, 26, 0.0, 0, 0, 0, 1), (16, 0.0, 5, 0.0, 0, 0.0, 0, 0, 0, 1), (11, 0.0, 0, 0.0, 12, 0.0, 0, 0, 0, 1),
-    # and what surrounds them
-    (1, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (2, 1.0, 1, 1.0, 8, 0.0, 0, 0, 0, 0), (4, 0.8, 2, 1.0, 3, 1.0, 0, 0, 0, 0),
-    (12, 0.9, 4, 0.8, 10, 0.7, 0, 0, 0, 0), (30, 0.7, 12, 0.9, 20, 0.8, 0, 0, 0, 0), (20, 0.6, 60, 0.0, 5, 1.0, 0, 0, 0, 0),
-    (3, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (4, 0.0, 3, 1.0, 2, 1.0, 0, 0, 1, 0), (5, 0.0, 40, 0.0, 2, 1.0, 0, 0, 0, 0),
-    (6, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (4, 0.5, 35, 0.0, 0, 0.0, 0, 0, 0, 0),
-]
+_ASIDE = frozenset("nav footer aside menu dialog".split())
+#: ARIA roles that say the same as an element.
+_ROLES = {"main": "main", "article": "article", "navigation": "nav", "banner": "header", "contentinfo": "footer", "complementary": "aside",
+          "search": "form", "form": "form", "menu": "menu", "menubar": "menu", "dialog": "dialog", "alertdialog": "dialog"}
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "main", "aside", "form", "heading", "list", "names")
 
-class Tree:
-    """Classification tree by Gini impurity; midpoints split, ties go to the first feature and lowest cut."""
 
-    def __init__(self, rows: list[tuple], depth: int = 6):
-        table = np.array(rows, dtype=float)
-        self.root = self._grow(table[:, :-1], table[:, -1], depth)
+def _names(value: str) -> list[str]:
+    """What class or id names call an element: each whole name and, as its head noun, its last part."""
+    out = []
+    for name in value.split():
+        parts = [p for p in _PARTS.split(_CAMEL.sub("-", name).lower()) if p]
+        if parts:
+            out += ["-".join(parts), parts[-1]] if len(parts) > 1 else parts
+    return out
 
-    def _grow(self, x: np.ndarray, y: np.ndarray, depth: int):
-        p = y.mean()
-        if not depth or p in (0.0, 1.0):
-            return float(p)
-        best = None
-        for f in range(x.shape[1]):
-            values = np.unique(x[:, f])
-            for cut in (values[1:] + values[:-1]) / 2:
-                low = x[:, f] <= cut
-                cost = sum(z.size * z.mean() * (1 - z.mean()) for z in (y[low], y[~low]))
-                if best is None or cost < best[0] - 1e-12:
-                    best = (cost, f, cut)
-        if best is None:
-            return float(p)
-        _, f, cut = best
-        low = x[:, f] <= cut
-        return (f, float(cut), self._grow(x[low], y[low], depth - 1), self._grow(x[~low], y[~low], depth - 1))
 
-    def chance(self, row) -> float:
-        node = self.root
-        while isinstance(node, tuple):
-            node = node[2] if row[node[0]] <= node[1] else node[3]
-        return node
+class _Open:
+    """An open element with all that holds inside it."""
+
+    __slots__ = ("article", "aside", "form", "in_list", "main", "names", "silent", "tag")
+
+    def __init__(self, tag, main=False, article=0, aside=False, form=0, in_list=False, names=(), silent=False):
+        self.tag, self.main, self.article, self.aside, self.form, self.in_list, self.names, self.silent = tag, main, article, aside, form, in_list, names, silent
+
+
+class Block:
+    """A run of text: its words, linked words, and the open elements' marks."""
+
+    __slots__ = ("article", "aside", "form", "heading", "in_list", "linked", "main", "names", "text", "words")
 
+    def __init__(self, text: str, linked: int, inside: _Open, heading: bool):
+        self.text, self.words, self.linked, self.heading = text, text.count(" ") + 1, linked, heading
+        self.main, self.article, self.aside, self.form, self.in_list, self.names = inside.main, inside.article, inside.aside, inside.form, inside.in_list, inside.names
 
-def _marks(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool, bool]:
-    """(opens main text, is furniture, is hidden) of an element."""
-    main = tag in ("article", "main")
-    furniture = tag in _FURNITURE or (tag == "header" and not in_main)
-    hidden = False
+
+_ROOT = _Open("")
+
+
+def _inside(outer: _Open, tag: str, attributes: str, number: int) -> _Open:
+    """``tag`` opened inside ``outer``; ``number``: its own, if it is an article or a form."""
+    silent, names, means = outer.silent or tag in _SILENT, outer.names, tag
     if attributes and not attributes.isspace():
-        named: set[str] = set()
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), a or b or c
-            if name in ("class", "id"):
-                named.update(w.lower() for w in _SPLIT.split(value) if w)
+            if name in ("class", "id") and tag not in ("html", "body"):
+                names = (*names, *_names(value))
             elif name == "role":
-                furniture |= value.lower() in _ROLES and not (value.lower() == "banner" and in_main)
-                main |= value.lower() in ("main", "article")
-            elif name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                hidden = True
-            elif name == "aria-hidden" and value.lower() == "true":
-                hidden = True
-        if named and tag not in ("html", "body"):
-            hints = named & _HINTS
-            if in_main or named & _MAIN:
-                hints = hints - {"header"}
-            if tag in ("article", "main"):
-                hints = hints & _READERS
-            if hints and not named & _FRAMES:
-                furniture = True
-            elif named & _MAIN:
-                main = True
-    return main, furniture, hidden
-
-
-def blocks(page: str) -> list[tuple]:
-    """(text, words, linked words, in_main, furniture, heading) of the flat blocks of a page."""
-    out: list[tuple] = []
+                means = _ROLES.get(value.strip().lower(), means)
+            elif name == "hidden" or (name == "style" and _HIDDEN.search(value)) or (name == "aria-hidden" and value.lower() == "true"):
+                silent = True
+    main, article, aside, form = outer.main, outer.article, outer.aside, outer.form
+    if means in ("article", "main"):
+        if not main and not outer.in_list:  # what stands around the page's text says nothing about it
+            aside, form, names = False, 0, names[len(outer.names):]
+        main, article = True, number if means == "article" else article
+    elif means in _ASIDE or (means == "header" and not main):
+        aside = True
+    elif means == "form":
+        form = number
+    return _Open(tag, main, article, aside, form, outer.in_list or tag in ("ul", "ol", "dl"), names, silent)
+
+
+def blocks(page: str) -> list[Block]:
+    """The flat text blocks of a page, in order."""
+    out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, in main, furniture, silent
-    state = (False, False, False)
-    heading = link = False
+    stack: list[_Open] = []
+    opened: Counter[str] = Counter()
+    top = _ROOT
+    heading = False
+    links = number = 0
 
     def flush() -> None:
         nonlocal parts, linked
@@ -152,17 +124,43 @@ def blocks(page: str) -> list[tuple]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 n_linked = len(html.unescape(" ".join(linked)).split())
-                out.append((text, text.count(" ") + 1, n_linked, state[0], state[1], heading))
+                out.append(Block(text, n_linked, top, heading))
             parts, linked = [], []
 
+    def push(inner: _Open) -> None:
+        nonlocal top
+        stack.append(inner)
+        opened[inner.tag] += 1
+        top = inner
+
+    def cut(n: int) -> None:
+        """Closes all but the ``n`` outermost open elements."""
+        nonlocal top
+        while len(stack) > n:
+            opened[stack.pop().tag] -= 1
+        top = stack[-1] if stack else _ROOT
+
+    def close(tag: str) -> bool:
+        """Closes the innermost open ``tag`` and all inside it."""
+        if not opened[tag]:
+            return False
+        n = len(stack) - 1
+        while stack[n].tag != tag:
+            n -= 1
+        cut(n)
+        return True
+
     at, size = 0, len(page)
     while at < size:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else size
-        if stop > at and not state[2]:
-            parts.append(page[at:stop])
-            if link:
-                linked.append(page[at:stop])
+        if stop > at:
+            if top.tag == "head" and not page[at:stop].isspace():
+                close("head")
+            if not top.silent:
+                parts.append(page[at:stop])
+                if links:
+                    linked.append(page[at:stop])
         if not m:
             break
         at = m.end()
@@ -170,70 +168,155 @@ def blocks(page: str) -> list[tuple]:
         if not tag:
             continue
         closing, attributes = m[1], m[3]
+        if not closing and top.tag == "head" and tag not in _IN_HEAD:
+            close("head")  # its end tag may be left out
         if tag in _RAW and not closing:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
             at = end.start() if end else size
         if tag == "a":
-            link = not closing
-            continue
-        if tag == "br":
-            if not state[2]:
-                parts.append(" ")
-            continue
-        if tag in _INLINE:
-            if closing:
-                if stack and stack[-1][0] == tag:
-                    stack.pop()
-                    state = stack[-1][1:] if stack else (False, False, False)
-            elif attributes and tag not in _VOID:
-                main, furniture, hidden = _marks(tag, attributes, state[0])
-                if hidden:
-                    stack.append((tag, state[0], state[1], True))
-                    state = stack[-1][1:]
+            links = 0 if closing else 1
+        if tag == "br" and not top.silent:
+            parts.append(" ")
+        if tag in _INLINE or (tag in _SILENT and tag != "head"):
+            if closing and tag in _SILENT:
+                close(tag)
+            elif closing:
+                n = len(stack)
+                while n and stack[n - 1].tag in _INLINE and stack[n - 1].tag != tag:
+                    n -= 1  # left open inside it
+                if n and stack[n - 1].tag == tag:
+                    cut(n - 1)
+            elif tag not in _VOID and not attributes.rstrip().endswith("/") and _inside(top, tag, attributes, 0).silent:
+                push(_Open(tag, silent=True))  # what else an inline element says does not make it a block of its own
             continue
         flush()
         if closing:
             if tag in _HEADINGS:
                 heading = False
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    link = False
-                    break
+            if close(tag):
+                links = 0
         elif tag not in _VOID and not attributes.rstrip().endswith("/"):
-            if tag == "p" or tag == "li":  # closes its open like
-                if stack and stack[-1][0] == tag:
-                    stack.pop()
-                state = stack[-1][1:] if stack else (False, False, False)
+            n = len(stack)
+            while n and stack[n - 1].tag in _INLINE:  # a block ends an inline element left open
+                n -= 1
+            while n and stack[n - 1].tag in _ENDS.get(tag, ("p",)):
+                n -= 1
+            cut(n)
             heading = tag in _HEADINGS
-            main, furniture, hidden = _marks(tag, attributes, state[0])
-            stack.append((tag, state[0] or main, state[1] or furniture, state[2] or hidden or tag in _SILENT))
-        state = stack[-1][1:] if stack else (False, False, False)
+            number += 1
+            push(_inside(top, tag, attributes, number))
     flush()
     return out
 
 
-_tree: Tree | None = None
+def features(found: list[Block], weights: dict[str, float]) -> list[tuple]:
+    """FEATURES of every block.
+
+    main, on a page with articles: the words of the block's own article over those of the longest, -0.5 outside them but in a main
+    element, -1 elsewhere; with a main element alone 1 and -1; 0 on a page that has neither. form: 1 minus the share of the page's
+    words that stand in the block's form, 0 outside forms. names: summed weights of the names around it, between -3 and 3.
+    """
+    total = sum(b.words for b in found) or 1
+    per_form: Counter[int] = Counter()
+    per_article: Counter[int] = Counter()
+    for b in found:
+        per_form[b.form] += b.words
+        per_article[b.article] += b.words
+    longest = max((n for a, n in per_article.items() if a), default=0)
+    any_main = any(b.main for b in found)
+    density = [b.linked / b.words for b in found]
+    out = []
+    for i, b in enumerate(found):
+        before = (found[i - 1].words, density[i - 1]) if i else (0, 0.0)
+        after = (found[i + 1].words, density[i + 1]) if i + 1 < len(found) else (0, 0.0)
+        names = sum(weights.get(n, 0.0) for n in set(b.names)) if b.names else 0.0
+        if longest:
+            main = per_article[b.article] / longest if b.article else -0.5 if b.main else -1.0
+        else:
+            main = 0.0 if not any_main else 1.0 if b.main else -1.0
+        out.append((
+            b.words, density[i], *before, *after, main, b.aside, 1 - per_form[b.form] / total if b.form else 0.0,
+            b.heading, b.in_list, max(-3.0, min(3.0, names))))
+    return out
+
+
+class Tree:
+    """Classification tree by Gini impurity; midpoints split, ties go to the first feature and lowest cut."""
+
+    def __init__(self, rows: list[tuple], depth: int = 8, least: int = 2):
+        table = np.array(rows, dtype=float)
+        self.least = least
+        self.root = self._grow(table[:, :-1], table[:, -1], depth)
+
+    def _grow(self, x: np.ndarray, y: np.ndarray, depth: int):
+        p = y.mean()
+        if not depth or p in (0.0, 1.0):
+            return float(p)
+        best = None
+        for f in range(x.shape[1]):
+            values = np.unique(x[:, f])
+            for cut in (values[1:] + values[:-1]) / 2:
+                low = x[:, f] <= cut
+                if min(low.sum(), (~low).sum()) < self.least:
+                    continue
+                cost = sum(z.size * z.mean() * (1 - z.mean()) for z in (y[low], y[~low]))
+                if best is None or cost < best[0] - 1e-12:
+                    best = (cost, f, cut)
+        if best is None:
+            return float(p)
+        _, f, cut = best
+        low = x[:, f] <= cut
+        return (f, float(cut), self._grow(x[low], y[low], depth - 1), self._grow(x[~low], y[~low], depth - 1))
+
+    def chance(self, row) -> float:
+        node = self.root
+        while isinstance(node, tuple):
+            node = node[2] if row[node[0]] <= node[1] else node[3]
+        return node
+
+    def used(self) -> set[str]:
+        """Names of the features that it splits on."""
+        def walk(node):
+            return {FEATURES[node[0]]} | walk(node[2]) | walk(node[3]) if isinstance(node, tuple) else set()
+
+        return walk(self.root)
+
+
+class Extractor:
+    """Weights of names and the tree, both learned from labelled pages (see ``labelled_pages``)."""
+
+    def __init__(self, pages: list[str]):
+        found = [blocks(p) for p in pages]
+        marked = [[b.text.startswith("+") for b in page] for page in found]
+        seen: dict[str, Counter] = {}
+        for page, marks in zip(found, marked, strict=True):
+            for name, keep in {(n, k) for b, k in zip(page, marks, strict=True) for n in b.names}:
+                seen.setdefault(name, Counter())[keep] += 1
+        # Log odds by pages, with half a page added to either side.
+        self.weights = {n: math.log((c[True] + 0.5) / (c[False] + 0.5)) for n, c in seen.items()}
+        rows = [(*x, k) for page, marks in zip(found, marked, strict=True) for x, k in zip(features(page, self.weights), marks, strict=True)]
+        self.tree = Tree(rows)
+
+    def text(self, page: str | None) -> str:
+        """Text blocks of the article, in page order, joined by an empty line."""
+        found = blocks(page or "")
+        return "\n\n".join(b.text for b, x in zip(found, features(found, self.weights), strict=True) if self.tree.chance(x) >= 0.5)
+
+
+_extractor: Extractor | None = None
+
 
+def extractor() -> Extractor:
+    global _extractor
+    if _extractor is None:
+        from kindred.llm.html_labels import labelled_pages
 
-def tree() -> Tree:
-    global _tree
-    if _tree is None:
-        _tree = Tree(LABELLED)
-    return _tree
+        _extractor = Extractor(labelled_pages())
+    return _extractor
 
 
 def main_text(page: str | None) -> str:
-    """Text blocks of the article, in page order, joined by an empty line."""
-    found = blocks(page or "")
-    grown = tree()
-    kept = []
-    density = [b[2] / b[1] for b in found]
-    for i, (text, words, _, in_main, furniture, heading) in enumerate(found):
-        before, after = (found[i - 1][1], density[i - 1]) if i else (0, 0.0), (found[i + 1][1], density[i + 1]) if i + 1 < len(found) else (0, 0.0)
-        if grown.chance((words, density[i], *before, *after, in_main, furniture, heading)) >= 0.5:
-            kept.append(text)
-    return "\n\n".join(kept)
+    return extractor().text(page)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -324,3 +324,53 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch, easy):
         got = by_id(line_dedup.line_dedup(documents(spark, [(i, t, "en", "a") for i, t in texts.items()]), min_docs=4, keep_first=keep_first))
         assert {i: r["text"] for i, r in got.items()} == want
         assert sum(r["n_dropped"] for r in got.values()) == len(gone)
+
+
+def _prose(n, word):
+    return " ".join(f"{word}{i}" for i in range(n))
+
+
+def test_main_text_of_odd_pages():
+    a, b, c = _prose(40, "a"), _prose(30, "b"), _prose(22, "c")
+    pages = {
+        f"<html><head><title>x</title><meta charset=utf-8><body><article><p>{a}</p><p>{b}</p></article>": [a, b],
+        f"<html><head><title>x</title><p>{a}</p><p>{b}</p>": [a, b],
+        f"<body><div class='content social-science'><p>{a}</p><p>{b}</p></div>": [a, b],
+        f"<body><nav><a href=x>x</a></nav><article class='search-algorithms'><h1>One two</h1><p>{a}</p></article>": ["One two", a],
+        f"<body><div id='legal-history'><p>{a}</p><p>{b}</p></div><footer>me</footer>": [a, b],
+        f"<body><form action=x><div><a href=y>home</a></div><article><p>{a}</p><p>{b}</p></article></form>": [a, b],
+        f"<body><form action=x><div><a href=y>home</a></div><p>{a}</p><p>{b}</p></form>": [a, b],
+        f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p><p>{a}</p></article>": ["Let x=2 be.", a],
+        f"<body><article><p>{a}</p><p>{b}</p></article><section><h2>Responses</h2><div><p>{c}</p></div></section>": [a, b],
+        f"<article><p>Seen <span hidden>secret <b>bold</b> leak</span> after.</p><p>{a}</p></article>": ["Seen after.", a],
+        f"<article><p>First <script>v='</p>'</script>second <button>Share</button>third.</p><p>{a}</p></article>": ["First second third.", a],
+        f"<article><h1>T</h1><p>{a}</p><div class='advert'>{c}</div><p>{b}</p><div id=comments><p>{c}</p></div></article>": ["T", a, b],
+        f"<article><table><tr><td>u<td>v<tr><td>w</table><p>{a}</article>": ["u", "v", "w", a],
+        f"<article><p>{a}<div>{b}</div>": [a, b],
+        "<article>" + f"<p>{a}</p>" * 3000 + "</article>": [a] * 3000,
+        "<div>" * 5000 + "</b></p>" * 5000 + f"<article><p>{a}</p></article>": [a],
+    }
+    for page, want in pages.items():
+        assert html_text.main_text(page) == "\n\n".join(want), page[:120]
+
+
+def test_main_text_equals_the_article_element(spark):
+    import html
+    import re
+    from pathlib import Path
+
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not Path(path).exists():
+        pytest.skip("no test tables")
+    for r in html_text.extract(spark.read.parquet(path)).collect():
+        inner = re.search(r"<article>(.*?)(?:</article>|\Z)", r["html"], re.S)[1]
+        pieces = re.split(r"</?(?:p|h1|footer|body|html)>", inner)
+        plain = (" ".join(html.unescape(re.sub(r"<br[^>]*>", " ", x).replace("<b>", "").replace("</b>", "")).split()) for x in pieces)
+        assert r["text"] == "\n\n".join(p for p in plain if p)
+
+
+def test_main_text_tree_uses_words_and_densities(spark):
+    assert {"words", "links"} <= html_text.extractor().tree.used()
+    rows = [(1, "<p>" + _prose(30, "a") + "</p>", "old", 5)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, html string, text string, words int")).first()
+    assert got["text"] == _prose(30, "a") and got["words"] == 5
