@@ -72,10 +72,11 @@ def test_repeated_spans(spark, odd, empty):
     got = spans.collect()
     texts = {r[0]: r[1] for r in rows}
     assert {r["doc_id"] for r in got} == set(range(2, 12))
-    assert all(texts[r["doc_id"]][r["start"] : r["stop"]] in passage and r["kept_doc_id"] == 1 and r["n_words"] >= 19 for r in got)
+    assert all(texts[r["doc_id"]][r["start"] : r["stop"]] in passage and r["kept_doc_id"] == 1 and r["n_words"] >= 18 and not r["line"] for r in got)
     cut = by_id(unit_dedup.without_spans(documents(spark, rows), spans))
     assert cut[1]["text"] == texts[1] and all(len(cut[i]["text"]) < len(texts[i]) for i in range(2, 12))
     assert {r["doc_id"] for r in unit_dedup.repeated_spans(odd).collect()} == {7, 8}
+    assert unit_dedup.repeated_spans(odd.where("doc_id < 4")).count() == 0
     assert unit_dedup.repeated_spans(empty).count() == 0
 
 
@@ -91,7 +92,51 @@ def test_substring_dedup_reports_repeats_inside_a_document(spark, tmp_path):
     got = queries.op5_substring_dedup(spark, str(tmp_path)).collect()
     assert sorted((r["doc_id"], r["kept_doc_id"]) for r in got) == [(1, 1), (2, 1), (3, 3)]
     again = {1: texts[1].rindex("p0 "), 2: texts[2].index("p0 "), 3: texts[3].rindex("f6x0 ")}
-    assert all(r["start"] >= again[r["doc_id"]] and r["n_words"] >= 19 for r in got)
+    assert all(r["start"] >= again[r["doc_id"]] and r["n_words"] >= 18 for r in got)
+
+
+def test_repeated_spans_hold_against_brute_force(spark):
+    import random
+
+    rng = random.Random(8)
+    fresh = iter(range(10**6))
+    prose = lambda n: [f"u{next(fresh):06d}" for _ in range(n)]
+    passages = [prose(51) for _ in range(12)]
+    lines = [prose(n) for n in (18, 25, 60)]
+    texts, planted, whole = {}, {}, {}
+    for doc in range(60):
+        pieces, used = [], rng.sample(range(12), 2)
+        for p in used:
+            pieces += [prose(rng.randrange(5, 40)), [w.upper() for w in passages[p]] if doc % 2 else passages[p]]
+        body = "  ".join(w for piece in pieces for w in piece)
+        line = lines[doc % 3] if doc % 4 == 0 else None
+        texts[doc] = body + ("\n " + " ".join(line) + "\t\n" if line else "\n") + " ".join(prose(10))
+        planted[doc], whole[doc] = used, line
+    got = {}
+    for r in unit_dedup.repeated_spans(documents(spark, [(k, t, "en", "a") for k, t in texts.items()])).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    flat = {k: " " + " ".join(t.lower().split()) + " " for k, t in texts.items()}
+    for doc, spans in got.items():
+        for r in spans:
+            span = " " + " ".join(texts[doc][r["start"] : r["stop"]].lower().split()) + " "
+            assert r["n_words"] == len(span.split()) >= 18 and all(k < doc for k in r["kept_doc_ids"])
+            assert any(span in flat[k] for k in range(doc)) or len(r["kept_doc_ids"]) > 1
+    seen, seen_lines = set(), []
+    for doc, used in planted.items():
+        for p in used:
+            at = texts[doc].lower().split()
+            if p in seen:
+                low = texts[doc].lower().index(passages[p][0])
+                high = texts[doc].lower().index(passages[p][-1])
+                assert any(r["start"] < high and r["stop"] > low for r in got[doc] if not r["line"])
+            seen.add(p)
+        if whole[doc] is not None:
+            if whole[doc] in seen_lines:
+                assert " ".join(whole[doc]) in [texts[doc][r["start"] : r["stop"]] for r in got[doc] if r["line"]]
+            seen_lines.append(whole[doc])
+    cut = by_id(unit_dedup.without_spans(documents(spark, [(5, "abcdefgh", "en", "a"), (5, "abc", "en", "a"), (6, None, "en", "a"), (None, "x", "en", "a")]),
+        spark.createDataFrame([(5, 1, 4), (5, 2, 3), (5, 2, 3), (6, 0, 1)], "doc_id long, start int, stop int")))
+    assert cut[6]["text"] is None and cut[None]["text"] == "x" and cut[5]["text"] in ("aefgh", "a")
 
 
 def test_mix(spark, odd, empty):
