@@ -10,15 +10,12 @@ from kindred.functions import fuzzy, text
 PAIR_COLUMNS = ("s1_business_name", "s1_business_address", "s1_country",
                 "candidate_business_name", "candidate_business_address", "candidate_country")
 
+# The names and order of the 16 features.
 FEATURES_16 = (
     "name_ratio", "name_partial_ratio", "name_token_sort", "name_token_set", "name_exact", "name_length_ratio",
     "address_ratio", "address_partial_ratio", "address_token_sort", "address_token_set", "address_exact",
     "address_length_ratio", "same_country", "max_name_similarity", "max_address_similarity", "combined_similarity")
 
-_SCORES = (("ratio", fuzzy.ratio), ("partial_ratio", fuzzy.partial_ratio),
-           ("token_sort", fuzzy.token_sort_ratio), ("token_set", fuzzy.token_set_ratio))
-
-
 def features_16(pairs: DataFrame, normalized: bool = False) -> DataFrame:
     """``pairs`` with the 16 features as floats, computed in double and rounded once.
 
@@ -27,19 +24,21 @@ def features_16(pairs: DataFrame, normalized: bool = False) -> DataFrame:
     clean = (lambda c: F.coalesce(F.col(c), F.lit(""))) if normalized else text.normalize_basic
     held = [f"__{side}_{part}" for side in ("s1", "candidate") for part in ("name", "address")]
     out = pairs.withColumns({h: clean(h[2:].replace("_", "_business_", 1)) for h in held})
-    values = {}
+    # One transfer for all four scores of a field.
+    out = out.withColumns({f"__{part}": fuzzy.all_scores(F.col(f"__s1_{part}"), F.col(f"__candidate_{part}")) for part in ("name", "address")})
+    values, best = {}, {}
     for part in ("name", "address"):
         a, b = F.col(f"__s1_{part}"), F.col(f"__candidate_{part}")
-        for label, score in _SCORES:
-            values[f"{part}_{label}"] = fuzzy.similarity(score, a, b)
+        for label in fuzzy.SCORES:
+            values[f"{part}_{label}"] = fuzzy.similarity(F.col(f"__{part}.{label}"), a, b)
         values[f"{part}_exact"] = ((a != "") & (a == b)).cast("double")
         values[f"{part}_length_ratio"] = fuzzy.length_ratio(a, b)
-    out = out.withColumns(values)
+        best[part] = fuzzy.similarity(F.greatest(*(F.col(f"__{part}.{label}") for label in fuzzy.SCORES)), a, b)
+        values[f"max_{part}_similarity"] = best[part]
     same = F.coalesce("s1_country", F.lit("")) == F.coalesce("candidate_country", F.lit(""))
-    best = {f"max_{p}_similarity": F.greatest(*(F.col(f"{p}_{x}") for x, _ in _SCORES)) for p in ("name", "address")}
-    out = out.withColumns(best | {"same_country": same.cast("double")})
-    out = out.withColumn("combined_similarity", 0.6 * F.col("max_name_similarity") + 0.4 * F.col("max_address_similarity"))
-    return out.select(*pairs.columns, *(F.col(f).cast("float").alias(f) for f in FEATURES_16))
+    values["same_country"] = same.cast("double")
+    values["combined_similarity"] = 0.6 * best["name"] + 0.4 * best["address"]
+    return out.select(*pairs.columns, *(values[f].cast("float").alias(f) for f in FEATURES_16))
 
 
 def features_26(pairs: DataFrame) -> DataFrame:
@@ -54,16 +53,17 @@ def features_26(pairs: DataFrame) -> DataFrame:
         held[f"__{side}_address"] = text.unicode_address(f"{side}_business_address")
     out = pairs.withColumns(held)
     out = out.withColumns({f"{k}_ascii": text.remove_accents(k) for k in held})
+    out = out.withColumns({f"__{part}": fuzzy.all_scores(F.col(f"__s1_{part}"), F.col(f"__candidate_{part}")) for part in ("name", "address")})
     names = []
     for part in ("name", "address"):
         a, b = F.col(f"__s1_{part}"), F.col(f"__candidate_{part}")
+        score = lambda label: F.col(f"__{part}.{label}") / 100  # noqa: B023,E731
         values = {
             f"{part}1_missing": (a == "").cast("int"), f"{part}2_missing": (b == "").cast("int"),
             f"{part}_exact": (a == b).cast("int"),
             f"{part}_ascii_exact": (F.col(f"__s1_{part}_ascii") == F.col(f"__candidate_{part}_ascii")).cast("int"),
-            f"{part}_ratio": fuzzy.ratio(a, b) / 100, f"{part}_partial_ratio": fuzzy.partial_ratio(a, b) / 100,
-            f"{part}_token_sort_ratio": fuzzy.token_sort_ratio(a, b) / 100,
-            f"{part}_token_set_ratio": fuzzy.token_set_ratio(a, b) / 100,
+            f"{part}_ratio": score("ratio"), f"{part}_partial_ratio": score("partial_ratio"),
+            f"{part}_token_sort_ratio": score("token_sort"), f"{part}_token_set_ratio": score("token_set"),
             f"{part}_token_jaccard": fuzzy.token_jaccard(text.tokens(a), text.tokens(b)),
         }
         if part == "address":
@@ -89,6 +89,5 @@ def rerank_scores(pairs: DataFrame) -> DataFrame:
     out = {}
     for part in ("name", "address"):
         a, b = F.col(f"s1_{part}"), F.col(f"candidate_{part}")
-        best = F.greatest(fuzzy.ratio(a, b), fuzzy.partial_ratio(a, b), fuzzy.token_set_ratio(a, b)) / 100
-        out[f"{part}_score"] = F.when((a == "") | (b == ""), 0.0).otherwise(best)
+        out[f"{part}_score"] = fuzzy.similarity(fuzzy.best_ratio(a, b), a, b)
     return pairs.withColumns(out)

@@ -1,148 +1,109 @@
 """String similarity scores from 0 to 100, after the longest common subsequence.
 
-Only the two cores (``ratio`` and ``partial_ratio``) are Python, on Arrow batches with a memo per batch; the token
-scores are array expressions around the first. Scores match the public definitions of the usual
-fuzzy-matching library; nothing is normalized here.
+The scores are Python on Arrow batches: each distinct pair of a batch is scored once, all pairs of a batch together
+(see ``subsequence``). ``all_scores`` gives the four scores of a field in one transfer. Scores match the public
+definitions of the usual fuzzy-matching library; nothing is normalized here. A null side gives null.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
-
-from kindred.functions.text import tokens
-
-
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one machine-word column of the table per bit."""
-    if a == b:
-        return len(a)
-    if len(a) > len(b):
-        a, b = b, a
-    where: dict[str, int] = {}
-    bit = 1
-    for c in a:
-        where[c] = where.get(c, 0) | bit
-        bit <<= 1
-    full = bit - 1
-    row = full
-    get = where.get
-    for c in b:
-        hit = get(c, 0)
-        if hit:
-            u = row & hit
-            row = ((row + u) | (row - u)) & full
-    return len(a) - row.bit_count()
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from kindred.functions.subsequence import best_window_ratios, lcs_lengths
+
+
+def ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """Twice the common subsequence over the summed lengths; both empty: 100."""
+    total = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], float)
+    return np.where(total > 0, 200.0 * lcs_lengths(a, b) / np.maximum(total, 1), 100.0)
+
+
+def _sorted(text: str) -> str:
+    return " ".join(sorted(text.split()))
+
+
+def token_sorts(a: list[str], b: list[str]) -> np.ndarray:
+    """Ratio of the tokens in order."""
+    return ratios(list(map(_sorted, a)), list(map(_sorted, b)))
+
+
+def token_sets(a: list[str], b: list[str]) -> np.ndarray:
+    """Best of the scores among shared tokens, and shared tokens with either side's rest; 0 without tokens on a side."""
+    sets = [(set(x.split()), set(y.split())) for x, y in zip(a, b, strict=True)]
+    parts = [tuple(" ".join(sorted(z)) for z in (x & y, x - y, y - x)) for x, y in sets]
+    shared, nx, ny = (np.array([len(p[i]) for p in parts], float) for i in range(3))
+    common = lcs_lengths([p[1] for p in parts], [p[2] for p in parts])
+    gap = (shared > 0).astype(float)
+    left, right = shared + gap + nx, shared + gap + ny
+    best = 100 * (1 - (nx + ny - 2 * common) / np.maximum(left + right, 1))
+    for n, side in ((nx, left), (ny, right)):
+        best = np.maximum(best, np.where(shared > 0, 100 * (1 - (gap + n) / np.maximum(shared + side, 1)), 0.0))
+    best = np.where((shared > 0) & ((nx == 0) | (ny == 0)), 100.0, best)
+    return np.where([bool(x) and bool(y) for x, y in sets], best, 0.0)
+
+
+def best_of_three(a: list[str], b: list[str]) -> np.ndarray:
+    """Greatest of ratio, partial ratio and token set ratio."""
+    return np.maximum(np.maximum(ratios(a, b), token_sets(a, b)), best_window_ratios(a, b))
 
 
 def ratio_of(a: str, b: str) -> float:
-    total = len(a) + len(b)
-    return 200.0 * lcs(a, b) / total if total else 100.0
+    return float(ratios([a], [b])[0])
 
 
 def partial_ratio_of(a: str, b: str) -> float:
-    """Best ratio of the shorter string with windows of the longer, shorter windows at its ends included."""
-    if not a or not b:
-        return 100.0 if a == b else 0.0
-    if len(a) == len(b):
-        return max(_windows(a, b), _windows(b, a))
-    return _windows(a, b) if len(a) < len(b) else _windows(b, a)
-
-
-def _windows(s: str, text: str) -> float:
-    m, n = len(s), len(text)
-    if s in text:
-        return 100.0
-    best = 0.0
-    need = Counter(s)
-    # Characters in common bound the subsequence: most windows need no table.
-    have: Counter[str] = Counter()
-    common = 0
-    letters = set(need)
-
-    def consider(start: int, stop: int) -> None:
-        nonlocal best
-        if 200.0 * common / (m + stop - start) > best:
-            score = 200.0 * lcs(s, text[start:stop]) / (m + stop - start)
-            best = max(best, score)
-
-    start = 0
-    for stop in range(1, n + 1):
-        c = text[stop - 1]
-        if c in letters:
-            have[c] += 1
-            common += have[c] <= need[c]
-        if stop - start > m:
-            d = text[start]
-            if d in letters:
-                common -= have[d] <= need[d]
-                have[d] -= 1
-            start += 1
-        consider(start, stop)
-    while start + 1 < n:  # shorter windows at the end
-        d = text[start]
-        if d in letters:
-            common -= have[d] <= need[d]
-            have[d] -= 1
-        start += 1
-        consider(start, n)
-    return best
+    return float(best_window_ratios([a], [b])[0])
+
+
+def token_set_ratio_of(a: str, b: str) -> float:
+    return float(token_sets([a], [b])[0])
+
+
+def _distinct(a: pa.Array, b: pa.Array) -> tuple[list[str], list[str], np.ndarray]:
+    """Distinct pairs of two columns, and the place of each row's pair among them (-1: a side is null)."""
+    places: dict[tuple[str, str], int] = {}
+    at = np.empty(len(a), np.int64)
+    for i, pair in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
+        at[i] = -1 if pair[0] is None or pair[1] is None else places.setdefault(pair, len(places))
+    return [p[0] for p in places], [p[1] for p in places], at
+
+
+def _spread(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.array(np.append(values, 0.0)[at], pa.float64(), mask=at < 0)
 
 
 def _udf(score):
     @F.arrow_udf(DoubleType())
     def run(a: pa.Array, b: pa.Array) -> pa.Array:
-        memo: dict[tuple[str, str], float] = {}
-        out = []
-        for pair in zip(a.to_pylist(), b.to_pylist(), strict=True):
-            if pair not in memo:
-                x, y = pair
-                memo[pair] = None if x is None or y is None else score(x, y)
-            out.append(memo[pair])
-        return pa.array(out, pa.float64())
+        x, y, at = _distinct(a, b)
+        return _spread(score(x, y), at)
 
     return run
 
 
-ratio = _udf(ratio_of)
-partial_ratio = _udf(partial_ratio_of)
-
+ratio = _udf(ratios)
+partial_ratio = _udf(best_window_ratios)
+token_sort_ratio = _udf(token_sorts)
+token_set_ratio = _udf(token_sets)
+best_ratio = _udf(best_of_three)
 
-def _sorted(col: Column) -> Column:
-    return F.array_join(F.array_sort(tokens(col)), " ")
+SCORES = {"ratio": ratios, "partial_ratio": best_window_ratios, "token_sort": token_sorts, "token_set": token_sets}
 
 
-def token_sort_ratio(a: Column, b: Column) -> Column:
-    return ratio(_sorted(a), _sorted(b))
-
-
-def token_set_ratio(a: Column, b: Column) -> Column:
-    """Best of the scores among shared tokens, and shared tokens with either side's rest."""
-    ta, tb = F.array_distinct(tokens(a)), F.array_distinct(tokens(b))
-    joined = lambda x: F.array_join(F.array_sort(x), " ")
-    shared, x, y = joined(F.array_intersect(ta, tb)), joined(F.array_except(ta, tb)), joined(F.array_except(tb, ta))
-    i, nx, ny = F.length(shared), F.length(x), F.length(y)
-    gap = F.when(i > 0, 1).otherwise(0)
-    # Indel distance of the rests from their ratio; where both are empty it is 0.
-    distance = F.round((nx + ny) * (1 - ratio(x, y) / 100))
-    left, right = i + gap + nx, i + gap + ny
-    rest = 100 * (1 - distance / F.greatest(left + right, F.lit(1)))
-    with_x = F.when(i > 0, 100 * (1 - (gap + nx) / (i + left))).otherwise(0.0)
-    with_y = F.when(i > 0, 100 * (1 - (gap + ny) / (i + right))).otherwise(0.0)
-    return (
-        F.when((F.size(ta) == 0) | (F.size(tb) == 0), 0.0)
-        .when((i > 0) & ((nx == 0) | (ny == 0)), 100.0)
-        .otherwise(F.greatest(rest, with_x, with_y))
-    )
+@F.arrow_udf(StructType([StructField(s, DoubleType()) for s in SCORES]))
+def all_scores(a: pa.Array, b: pa.Array) -> pa.Array:
+    """The four scores of a pair of strings."""
+    x, y, at = _distinct(a, b)
+    return pa.StructArray.from_arrays([_spread(score(x, y), at) for score in SCORES.values()], names=list(SCORES))
 
 
-def similarity(score, a: Column, b: Column) -> Column:
-    """``score`` over 100; 0 where either side is empty."""
-    return F.when((a == "") | (b == ""), 0.0).otherwise(score(a, b) / 100)
+def similarity(score: Column, a: Column, b: Column) -> Column:
+    """``score`` of ``a`` and ``b`` over 100; 0 where either side is empty."""
+    return F.when((a == "") | (b == ""), 0.0).otherwise(score / 100)
 
 
 def length_ratio(a: Column, b: Column) -> Column:
@@ -189,42 +150,15 @@ def entity_f_half(tp: Column, predicted: Column, true: Column) -> Column:
 def register(spark: SparkSession) -> None:
     """The scores and the basic normalizer as SQL functions."""
 
-    @F.arrow_udf(DoubleType())
-    def sort_ratio(a: pa.Array, b: pa.Array) -> pa.Array:
-        order = lambda s: " ".join(sorted(s.split()))
-        pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-        return pa.array([None if x is None or y is None else ratio_of(order(x), order(y)) for x, y in pairs], pa.float64())
-
-    @F.arrow_udf(DoubleType())
-    def set_ratio(a: pa.Array, b: pa.Array) -> pa.Array:
-        pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
-        return pa.array([None if x is None or y is None else token_set_ratio_of(x, y) for x, y in pairs], pa.float64())
-
     @F.arrow_udf(StringType())
     def basic(values: pa.Array) -> pa.Array:
         return pa.array([normalize_basic_of(v) for v in values.to_pylist()], pa.string())
 
-    for name, f in (("fuzz_ratio", ratio), ("fuzz_partial_ratio", partial_ratio), ("fuzz_token_sort_ratio", sort_ratio),
-                    ("fuzz_token_set_ratio", set_ratio), ("normalize_text", basic)):
+    for name, f in (("fuzz_ratio", ratio), ("fuzz_partial_ratio", partial_ratio), ("fuzz_token_sort_ratio", token_sort_ratio),
+                    ("fuzz_token_set_ratio", token_set_ratio), ("normalize_text", basic)):
         spark.udf.register(name, f)
 
 
-def token_set_ratio_of(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    shared, only_x, only_y = (" ".join(sorted(z)) for z in (x & y, x - y, y - x))
-    if shared and not (only_x and only_y):
-        return 100.0
-    gap = 1 if shared else 0
-    left, right = len(shared) + gap + len(only_x), len(shared) + gap + len(only_y)
-    distance = len(only_x) + len(only_y) - 2 * lcs(only_x, only_y)
-    best = 100 * (1 - distance / (left + right))
-    if shared:
-        best = max(best, 100 * (1 - (gap + len(only_x)) / (len(shared) + left)), 100 * (1 - (gap + len(only_y)) / (len(shared) + right)))
-    return best
-
-
 def normalize_basic_of(value: str | None) -> str:
     import re
     import unicodedata

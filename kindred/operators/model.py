@@ -20,20 +20,25 @@ def entity_split(entities: DataFrame, test_percent: int = 20, seed: int = 42) ->
 
     Depends on ids and seed alone, not on partitions. A country ranks in two levels: hash ranges first.
     """
-    ids = entities.select("entity_id", "country").distinct().withColumn("h", F.xxhash64(F.lit(seed), "entity_id"))
-    ids = ids.withColumn("range", F.shiftrightunsigned("h", 54))
+    ids = entities.select("entity_id", "country").distinct().withColumn("h", _drawn(seed))
+    ids = ids.withColumn("range", F.substring("h", 1, 3))
     per = ids.groupBy("country", "range").agg(F.count("*").alias("c"))
     upto = Window.partitionBy("country").orderBy("range")
     per = per.select(F.col("country").alias("co"), F.col("range").alias("ra"), (F.sum("c").over(upto) - F.col("c")).alias("base"), F.sum("c").over(Window.partitionBy("country")).alias("n"))
-    here = Window.partitionBy("country", "range").orderBy(F.shiftrightunsigned("h", 1), "h", "entity_id")
+    here = Window.partitionBy("country", "range").orderBy("h", "entity_id")
     ranked = ids.withColumn("here", F.row_number().over(here)).join(per, F.col("country").eqNullSafe(F.col("co")) & (F.col("range") == F.col("ra")))
     test = F.col("here") + F.col("base") <= F.ceil(F.col("n") * test_percent / 100)
     return ranked.select("entity_id", "country", F.when(test, "validation").otherwise("train").alias("split"))
 
 
+def _drawn(seed: int):
+    """A digest that puts ids in a random order which any engine can repeat."""
+    return F.md5(F.concat(F.lit(f"{seed}-"), F.col("entity_id").cast("string")))
+
+
 def entity_sample(entities: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` records of least hash; the same ones whatever the partitions."""
-    return entities.orderBy(F.xxhash64(F.lit(seed), "entity_id"), "entity_id").limit(n)
+    return entities.orderBy(_drawn(seed), "entity_id").limit(n)
 
 
 def overlap(train: DataFrame, validation: DataFrame) -> DataFrame:

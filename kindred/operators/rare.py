@@ -1,7 +1,8 @@
 """Retrieval through rare character n-grams.
 
 Document frequencies are partial aggregates over distinct grams; grams above the cap go *before* any
-join, which bounds every posting list, so the probe's fan-out is at most cap times anchors per record.
+join, which bounds every posting list, so the probe's fan-out is at most cap times anchors per record. Normalized
+records, target grams and anchors are each written once and read by every step that needs them.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from kindred.functions import text
 from kindred.functions.features import rerank_scores
 from kindred.operators import blocking
+from kindred.sources.stage import written
 
 #: kind -> (column, gram sizes, anchors kept): production, and the variant that scans targets.
 PRODUCTION = {"n": ("name", (4, 6), 6), "a": ("address", (5, 8), 8)}
@@ -90,13 +92,17 @@ def production_candidates(
     exact_limit: int = 512, bucket_bits: int | None = None,
 ) -> DataFrame:
     """Candidates of every S1 record: rare-gram hits and capped exact lookups, reranked, ``top_k`` per source."""
+    s1, others = written(s1, "s1"), written(others, "targets")
     if index is None:
-        index = postings(grams(others, bucket_bits=bucket_bits), cap)
-    frequency = index.select("country", "kind", "gram", "df").distinct()
-    chosen = anchors(grams(s1, bucket_bits=bucket_bits), frequency, cap=cap)
+        index = written(grams(others, bucket_bits=bucket_bits), "grams")
+        frequency = document_frequency(index)
+    else:
+        frequency = index.select("country", "kind", "gram", "df").distinct()
+    # Anchors are rare grams only, so that probing with them bounds the postings that are read.
+    chosen = written(anchors(written(grams(s1, bucket_bits=bucket_bits), "s1-grams"), frequency, cap=cap), "anchors")
     found = preselect(hits(chosen, index), pre_k).select("s1_id", "candidate_id")
     exact = blocking.exact_capped(s1, others, exact_limit).select("s1_id", "candidate_id")
-    pairs = found.unionByName(exact).distinct()
+    pairs = written(found.unionByName(exact).distinct(), "pairs")
     return rerank(with_texts(pairs, s1, others), top_k).select("s1_id", "candidate_id", "source", "both_exact", "name_score", "address_score", "score", "rank")
 
 
@@ -110,8 +116,9 @@ def scanning_candidates(s1: DataFrame, others: DataFrame, cap: int = 6, pre_k: i
 
     score = 0.85 best similarity + 0.15 best coverage; ties to the larger candidate id.
     """
-    own = grams(s1, SCANNING)
-    chosen = anchors(own, document_frequency(own), SCANNING, cap)
+    s1, others = written(s1, "s1"), written(others, "targets")
+    own = written(grams(s1, SCANNING), "s1-grams")
+    chosen = written(anchors(own, document_frequency(own), SCANNING, cap), "anchors")
     met = cheap_filter(hits(chosen, grams(others, SCANNING)))
     pre = preselect(met, pre_k).withColumn("retrieval_method", F.lit("rare_anchor"))
     scored = rerank_scores(with_texts(pre, s1, others))

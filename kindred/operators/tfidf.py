@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import text
 from kindred.operators import blocking
+from kindred.sources.stage import written
 
 
 def corpora(s1: DataFrame, others: DataFrame, fields=("name", "address", "combined")) -> DataFrame:
@@ -28,20 +29,22 @@ def corpora(s1: DataFrame, others: DataFrame, fields=("name", "address", "combin
 
 
 def weights(corpus: DataFrame, min_df: int = 2) -> DataFrame:
-    """Unit-length gram weights of every document."""
+    """Unit-length gram weights of every document, as a written table."""
     key = ["country", "source", "field"]
+    corpus = written(corpus, "corpus")
     sizes = corpus.groupBy(*key).agg(F.count("*").alias("n"))
     tf = corpus.select(*key, "side", "entity_id", F.explode(text.word_boundary_grams("text")).alias("gram"))
-    tf = tf.groupBy(*key, "side", "entity_id", "gram").agg(F.count("*").alias("tf"))
+    tf = written(tf.groupBy(*key, "side", "entity_id", "gram").agg(F.count("*").alias("tf")), "tf")
     df = tf.groupBy(*key, "gram").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
     idf = df.join(sizes, key).select(*key, "gram", "df", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
     w = tf.join(idf, [*key, "gram"]).withColumn("w", F.col("tf") * F.col("idf"))
     norm = w.groupBy(*key, "side", "entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, [*key, "side", "entity_id"]).select(*key, "side", "entity_id", "gram", "df", (F.col("w") / F.col("norm")).alias("w"))
+    out = w.join(norm, [*key, "side", "entity_id"])
+    return written(out.select(*key, "side", "entity_id", "gram", "df", (F.col("w") / F.col("norm")).alias("w")), "weights")
 
 
-def cosine_pairs(weighted: DataFrame, bound: float = 0.25, top_n: int = 30) -> DataFrame:
-    """(country, source, field, s1_id, candidate_id, score): the best ``top_n`` per S1 record with score >= ``bound``."""
+def cosine_pairs(weighted: DataFrame, bound: float = 0.25, top_n: int | None = 30) -> DataFrame:
+    """(country, source, field, s1_id, candidate_id, score): the best ``top_n`` (null: all) per S1 record with score >= ``bound``."""
     key = ["country", "source", "field"]
     # With both rows of unit length, what an S1 record's grams after position p add is at most the length of their weights.
     rarest = Window.partitionBy(*key, "side", "entity_id").orderBy("df", "gram")
@@ -56,6 +59,8 @@ def cosine_pairs(weighted: DataFrame, bound: float = 0.25, top_n: int = 30) -> D
     score = score.groupBy(*key, "s1_id", "candidate_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("score"))
     turn = Window.partitionBy(*key, "s1_id").orderBy(F.desc(F.round("score", 12)), "candidate_id")
     score = score.where(F.col("score") >= bound)
+    if top_n is None:
+        return score
     return score.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= top_n).drop("turn")
 
 
@@ -64,7 +69,7 @@ def candidates(s1: DataFrame, others: DataFrame, top_n: int = 20, address_bound:
 
     ``address_bound`` applies to addresses alone; names and combined texts use 0.25.
     """
-    found = cosine_pairs(weights(corpora(s1, others)), min(0.25, address_bound), 1 << 30)
+    found = cosine_pairs(weights(corpora(s1, others)), min(0.25, address_bound), None)
     least = F.when(F.col("field") == "address", address_bound).otherwise(0.25)
     turn = Window.partitionBy("country", "source", "field", "s1_id").orderBy(F.desc(F.round("score", 12)), "candidate_id")
     found = found.where(F.col("score") >= least).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= top_n)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import fuzzy, text
-from kindred.functions.features import features_16, features_26
+from kindred.functions.features import FEATURES_16, features_16, features_26
 from kindred.operators import blocking, evaluate, model, pairs, qa, rare, reports, tfidf
 from kindred.plans import resolve
 from kindred.plans.views import CUSTOMERS, DOCUMENTS, PARTS, view
@@ -91,16 +91,60 @@ def _f05(tp: str = "tp", n_pred: str = "n_pred", n_true: str = "n_true") -> str:
             f"else 1.25::double * ({tp}::double / {n_pred}) * ({tp}::double / {n_true}) / (0.25::double * ({tp}::double / {n_pred}) + ({tp}::double / {n_true})) end::double")
 
 
+def _masks(a: str, b: str) -> str:
+    """For every character of ``b``: at which places of ``a`` it stands, as the bits of a number (62 characters at most)."""
+    bit = f"case when substr({a}, i::int, 1) = substr({b}, j::int, 1) then 1::bigint << (i - 1)::int else 0::bigint end"
+    return f"list_transform(range(1, length({b}) + 1), lambda j: list_sum(list_transform(range(1, length({a}) + 1), lambda i: {bit}))::bigint)"
+
+
+def _common(a: str, masks: str) -> str:
+    """Longest common subsequence of ``a`` with the characters that the masks stand for."""
+    full = f"((1::bigint << length({a})) - 1)"
+    return f"(length({a}) - bit_count(list_reduce({masks}, lambda r, k: ((r + (r & k)) | (r - (r & k))) & {full}, {full})))"
+
+
 def _lcs(a: str, b: str) -> str:
-    """Longest common subsequence: the table row by row, each row folded over the characters of ``b``."""
-    row = (f"list_reduce(list_transform(range(1, length({b}) + 1), lambda j: [j]), lambda acc, j: list_append(acc, "
-           f"case when substr({b}, j[1]::int, 1) = substr({a}, i[1]::int, 1) then prev[j[1]] + 1 else greatest(acc[len(acc)], prev[j[1] + 1]) end), [0::bigint])")
-    return (f"list_last(list_reduce(list_transform(range(1, length({a}) + 1), lambda i: [i]), lambda prev, i: {row}, "
-            f"list_transform(range(0, length({b}) + 1), lambda z: 0::bigint)))")
+    return f"case when length({a}) = 0 or length({b}) = 0 then 0 else {_common(a, _masks(a, b))} end"
 
 
 def _ratio(a: str, b: str) -> str:
-    return f"case when length({a}) + length({b}) = 0 then 100.0 else 200.0::double * {_lcs(a, b)} / (length({a}) + length({b})) end::double"
+    return f"case when length({a}) + length({b}) = 0 then 100.0 else 200.0::double * ({_lcs(a, b)}) / (length({a}) + length({b})) end::double"
+
+
+def _set_ratio(ta: str, tb: str) -> str:
+    """Token set ratio of two lists of distinct tokens."""
+    return (f"list_transform([struct_pack(na := len({ta}), nb := len({tb}), i := array_to_string(list_sort(list_intersect({ta}, {tb})), ' '), "
+            f"x := array_to_string(list_sort(list_filter({ta}, lambda t: not list_contains({tb}, t))), ' '), y := array_to_string(list_sort(list_filter({tb}, lambda t: not list_contains({ta}, t))), ' '))], "
+            f"lambda p: case when p.na = 0 or p.nb = 0 then 0.0 when length(p.i) > 0 and (length(p.x) = 0 or length(p.y) = 0) then 100.0 else greatest("
+            f"100 * (1 - (length(p.x) + length(p.y) - 2 * ({_lcs('p.x', 'p.y')}))::double / (2 * length(p.i) + 2 * (length(p.i) > 0)::int + length(p.x) + length(p.y))), "
+            f"case when length(p.i) > 0 then 100 * (1 - (1 + length(p.x))::double / (2 * length(p.i) + 1 + length(p.x))) else 0 end, "
+            f"case when length(p.i) > 0 then 100 * (1 - (1 + length(p.y))::double / (2 * length(p.i) + 1 + length(p.y))) else 0 end) end::double)[1]")
+
+
+def _partial(a: str, b: str) -> str:
+    """Best ratio of the shorter text with windows of the longer; texts of equal length both ways."""
+    def one(x: str, y: str) -> str:
+        window = f"list_slice(mm, greatest(w - length({x}), 0) + 1, least(w, length({y})))"
+        score = f"200.0::double * {_common(x, window)} / (length({x}) + least(w, length({y})) - greatest(w - length({x}), 0))"
+        return f"list_transform([{_masks(x, y)}], lambda mm: list_max(list_transform(range(1, length({x}) + length({y})), lambda w: {score})))[1]"
+
+    return (f"case when length({a}) = 0 or length({b}) = 0 then case when {a} = {b} then 100.0 else 0.0 end when length({a}) < length({b}) then {one(a, b)} "
+            f"when length({a}) > length({b}) then {one(b, a)} else greatest({one(a, b)}, {one(b, a)}) end::double")
+
+
+_TOKENS = "list_filter(string_split({}, ' '), lambda t: t <> '')"
+_SORTED = f"array_to_string(list_sort({_TOKENS}), ' ')"
+
+
+def _prepared(table: str, *columns: str) -> str:
+    """``table`` with the sorted tokens (s_) and the distinct ones (t_) of normalized columns."""
+    more = ", ".join(f"{_SORTED.format(c)} as s_{c}, list_distinct({_TOKENS.format(c)}) as t_{c}" for c in columns)
+    return f"select *, {more} from {table}"
+
+
+def _four(a: str, b: str) -> dict[str, str]:
+    """The four scores of two normalized columns of a prepared table."""
+    return {"ratio": _ratio(a, b), "partial_ratio": _partial(a, b), "token_sort": _ratio(f"s_{a}", f"s_{b}"), "token_set": _set_ratio(f"t_{a}", f"t_{b}")}
 
 
 def _pair_sql() -> str:
@@ -183,18 +227,36 @@ def _grams(table: str, setup=rare.PRODUCTION) -> str:
     parts = []
     for kind, (column, sizes, _) in setup.items():
         for n in sizes:
-            parts.append(f"select entity_id, country, '{kind}' as kind, unnest(list_distinct(list_transform(range(1, length(replace({column}, ' ', '')) - {n} + 2), lambda i: substr(replace({column}, ' ', ''), i::int, {n})))) as gram from {table}")
+            places = f"(select entity_id, country, replace({column}, ' ', '') as x, unnest(range(1, length(replace({column}, ' ', '')) - {n} + 2)) as i from {table})"
+            parts.append(f"select distinct entity_id, country, '{kind}' as kind, substr(x, i::int, {n}) as gram from {places}")
     return " union all ".join(parts)
 
 
-_RARE = _views(DOCUMENTS) + f"""g1 as ({_grams('n1')}), gt as ({_grams('nt')}), f as (select country, kind, gram, count(*) as df from gt group by all having count(*) <= 24),
+def _rare(of: dict[str, str], setup=rare.PRODUCTION, cap: int = 24, df_of: str = "gt") -> str:
+    """Grams, the rarest anchors of every S1 record and the pairs that they hit; frequencies are those of ``df_of``."""
+    most = f"case kind when 'n' then {setup['n'][2]} else {setup['a'][2]} end"
+    return _views(of) + f"""g1 as materialized ({_grams('n1', setup)}), gt as materialized ({_grams('nt', setup)}), f as (select country, kind, gram, count(*) as df from {df_of} group by all having count(*) <= {cap}),
 an as (select g1.entity_id as s1_id, country, kind, gram, df, row_number() over (partition by g1.entity_id, kind order by df, gram) as turn from g1 join f using (country, kind, gram)),
-ch as (select *, count(*) over (partition by s1_id, kind) as n_kept from an where turn <= case kind when 'n' then 6 else 8 end),
+ch as (select *, count(*) over (partition by s1_id, kind) as n_kept from an where turn <= {most}),
 hi as (select s1_id, gt.entity_id as candidate_id, count(*) filter (ch.kind = 'n') as name_anchor_hits, count(*) filter (ch.kind = 'a') as address_anchor_hits,
   coalesce(count(*) filter (ch.kind = 'n')::double / max(n_kept) filter (ch.kind = 'n'), 0) as nc, coalesce(count(*) filter (ch.kind = 'a')::double / max(n_kept) filter (ch.kind = 'a'), 0) as ac
   from ch join gt using (country, kind, gram) group by all)"""
 
 
+_RARE = _rare(DOCUMENTS)
+
+
+def _reranked(pairs_sql: str) -> str:
+    """Scored pairs: best of ratio, partial and token set ratio of either field."""
+    def best(a: str, b: str) -> str:
+        four = _four(a, b)
+        return f"case when {a} = '' or {b} = '' then 0.0 else greatest({four['ratio']}, {four['partial_ratio']}, {four['token_set']}) / 100 end::double"
+
+    texts = "select p.*, n1.name as a, n1.address as aa, nt.name as b, nt.address as ba, nt.source from pr p join n1 on n1.entity_id = s1_id join nt on nt.entity_id = candidate_id"
+    return f""", pr as ({pairs_sql}), tx as ({texts}), k as materialized ({_prepared('tx', 'a', 'b', 'aa', 'ba')}),
+sc as materialized (select *, {best('a', 'b')} as name_score, {best('aa', 'ba')} as address_score from k)"""
+
+
 @query(DOCUMENTS, _views(DOCUMENTS) + f"g as ({_grams('nt')}) select entity_id, kind, count(*) as n_grams, min(gram) as first_gram, max(gram) as last_gram from g group by all")
 def char_ngrams(v: Views) -> DataFrame:
     return rare.grams(v.targets).groupBy("entity_id", "kind").agg(F.count("*").alias("n_grams"), F.min("gram").alias("first_gram"), F.max("gram").alias("last_gram"))
@@ -205,7 +267,16 @@ def ngram_document_frequency(v: Views) -> DataFrame:
     return rare.document_frequency(rare.grams(v.targets)).where("df <= 24")
 
 
-@query(DOCUMENTS)
+def _crc32(digits: str) -> str:
+    """CRC-32 of the bytes whose hexadecimal digits a column holds, bit by bit."""
+    shift = "lambda r, k: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end"
+    bytes_ = f"list_transform(range(0, length({digits}) // 2), lambda i: ('0x' || substr({digits}, (2 * i + 1)::int, 2))::bigint)"
+    return f"xor(list_reduce({bytes_}, lambda c, b: list_reduce(range(8), {shift}, xor(c, b)), 4294967295::bigint), 4294967295)"
+
+
+@query(sql=_views() + f"""g as materialized ({_grams('nt')}), h as materialized (select country, kind, gram, hex(encode(country || kind || gram)) as x from (select distinct country, kind, gram from g)),
+d as materialized (select country, kind, gram, {_crc32('x')} & 16777215 as bucket from h),
+e as (select distinct entity_id, country, kind, bucket from g join d using (country, kind, gram)) select country, kind, bucket::varchar as gram, count(*) as df from e group by all""")
 def ngram_bucket_crc32(v: Views) -> DataFrame:
     return rare.document_frequency(rare.grams(v.targets, bucket_bits=24))
 
@@ -238,14 +309,41 @@ def v31_cheap_filter(v: Views) -> DataFrame:
     return rare.cheap_filter(_hits(v)).select("s1_id", "candidate_id")
 
 
-@query()
+_CAP = 20
+_KINDS_SQL = {
+    "name_address": ("name <> '' and address <> ''", "country, source, name, address", "entity_id", "n1.name = t.name and n1.address = t.address"),
+    "name": ("name <> ''", "country, source, name", "address, entity_id", "n1.name = t.name"),
+    "address": ("address <> ''", "country, source, address", "name, entity_id", "n1.address = t.address"),
+}
+
+
+def _capped(limit: int) -> str:
+    return " union all ".join(
+        f"select n1.entity_id as s1_id, '{k}' as kind, t.source, t.entity_id as candidate_id from n1 join (select *, row_number() over (partition by {part} order by {order}) as turn from nt where {filled}) t on n1.country = t.country and {on} where turn <= {limit}"
+        for k, (filled, part, order, on) in _KINDS_SQL.items())
+
+
+_PRODUCTION = _rare(CUSTOMERS) + f""", pl as (select s1_id, candidate_id, row_number() over (partition by s1_id, split_part(candidate_id, '-', 1) order by nc + ac desc, candidate_id desc) as turn from hi), ex as ({_capped(512)})""" + _reranked(
+    "select s1_id, candidate_id from pl where turn <= 80 union select s1_id, candidate_id from ex") + """,
+bo as (select *, a <> '' and aa <> '' and a = b and aa = ba as both_exact, 0.6::double * name_score + 0.4::double * address_score as score from sc),
+ra as (select *, row_number() over (partition by s1_id, source order by both_exact desc, score desc, name_score desc, address_score desc, candidate_id desc) as rank from bo)
+select s1_id, candidate_id, source, both_exact, round(name_score, 9) as name_score, round(address_score, 9) as address_score, round(score, 9) as score, rank::int as rank from ra where rank <= 50"""
+
+
+@query(sql=_PRODUCTION)
 def production_candidates(v: Views) -> DataFrame:
-    return rare.production_candidates(v.s1, v.targets)
+    return rare.production_candidates(v.s1, v.targets).withColumns({c: F.round(c, 9) for c in ("name_score", "address_score", "score")})
 
 
-@query()
+@query(sql=_rare(CUSTOMERS, rare.SCANNING, 6, "g1") + """, pl as (select *, row_number() over (partition by s1_id, split_part(candidate_id, '-', 1) order by nc + ac desc, candidate_id desc) as turn from hi
+  where name_anchor_hits >= 2 or address_anchor_hits >= 2 or greatest(nc, ac) >= 0.5)""" + _reranked("select s1_id, candidate_id, nc, ac from pl where turn <= 80") + """,
+bo as (select *, 0.85::double * greatest(name_score, address_score) + 0.15::double * greatest(nc, ac) as score from sc),
+ra as (select *, row_number() over (partition by s1_id, source order by score desc, candidate_id desc) as rank from bo),
+ms as (select n1.entity_id as s1_id, nt.entity_id as candidate_id, 'exact_name' as m from n1 join nt using (country, name) where name <> '' union all select n1.entity_id, nt.entity_id, 'exact_address' from n1 join nt using (country, address) where address <> ''),
+ex as (select s1_id, candidate_id, 1.0::double as score, string_agg(m, '+' order by m) as retrieval_method from ms group by s1_id, candidate_id)
+select s1_id, candidate_id, round(score, 9) as score, retrieval_method from (select * from ex union all select s1_id, candidate_id, score, 'rare_anchor' from ra where rank <= 50 and (s1_id, candidate_id) not in (select (s1_id, candidate_id) from ex))""")
 def v31_candidates(v: Views) -> DataFrame:
-    return rare.scanning_candidates(v.s1, v.targets)
+    return rare.scanning_candidates(v.s1, v.targets).withColumn("score", F.round("score", 9))
 
 
 # --- Exact keys -------------------------------------------------------------------------------------
@@ -256,17 +354,7 @@ def exact_name_candidates(v: Views) -> DataFrame:
     return blocking.exact_name(v.s1, v.targets)
 
 
-_CAP = 20
-_KINDS_SQL = {
-    "name_address": ("name <> '' and address <> ''", "country, source, name, address", "entity_id", "n1.name = t.name and n1.address = t.address"),
-    "name": ("name <> ''", "country, source, name", "address, entity_id", "n1.name = t.name"),
-    "address": ("address <> ''", "country, source, address", "name, entity_id", "n1.address = t.address"),
-}
-
-
-@query(PARTS, _views(PARTS) + "z as (select 1) " + " union all ".join(
-    f"select n1.entity_id as s1_id, '{k}' as kind, t.source, t.entity_id as candidate_id from n1 join (select *, row_number() over (partition by {part} order by {order}) as turn from nt where {filled}) t on n1.country = t.country and {on} where turn <= {_CAP}"
-    for k, (filled, part, order, on) in _KINDS_SQL.items()))
+@query(PARTS, _views(PARTS) + "z as (select 1) " + _capped(_CAP))
 def exact_key_capped(v: Views) -> DataFrame:
     return blocking.exact_capped(v.s1, v.targets, _CAP)
 
@@ -287,19 +375,27 @@ def exact_methods_merged(v: Views) -> DataFrame:
 
 # --- TF-IDF -----------------------------------------------------------------------------------------
 
-_TFIDF = _views() + """co as (select country, source, 't' as side, entity_id, name from nt
-  union all select n1.country, s.source, 's1', entity_id, name from n1 join (select distinct country, source from nt) s using (country)),
-nd as (select country, source, count(*) as n from co group by all),
-wd as (select country, source, side, entity_id, ' ' || unnest(list_filter(string_split(lower(name), ' '), lambda t: t <> '')) || ' ' as w from co),
-gr as (select country, source, side, entity_id, unnest(flatten(list_transform([2, 3, 4], lambda n: case when n = 2 or length(w) >= n then list_transform(range(1, length(w) - n + 2), lambda i: substr(w, i::int, n::int)) else [] end))) as gram from wd),
+_UNIT = _views() + """no_ as (select 1), al as (select country, source, 't' as side, entity_id, name, address from nt
+  union all select n1.country, s.source, 's1', entity_id, name, address from n1 join (select distinct country, source from nt) s using (country)),
+co as (select country, source, side, entity_id, f.field, f.text from (select *, unnest({fields}) as f from al)),
+nd as (select country, source, field, count(*) as n from co group by all),
+wd as (select country, source, field, side, entity_id, ' ' || unnest(list_filter(string_split(lower(text), ' '), lambda t: t <> '')) || ' ' as w from co),
+gr as (select country, source, field, side, entity_id, unnest(flatten(list_transform([2, 3, 4], lambda n: case when n = 2 or length(w) >= n then list_transform(range(1, length(w) - n + 2), lambda i: substr(w, i::int, n::int)) else [] end))) as gram from wd),
 tf as (select *, count(*) as tf from gr group by all),
-idf as (select country, source, gram, count(*) as df, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 as idf from tf join nd using (country, source) group by country, source, gram having count(*) >= 2),
-wt as (select tf.*, tf * idf as w from tf join idf using (country, source, gram)),
-no as (select country, source, side, entity_id, sqrt(sum(w * w)) as norm from wt group by all),
-un as (select wt.country, wt.source, wt.side, wt.entity_id, gram, w / norm as w from wt join no on wt.country = no.country and wt.source = no.source and wt.side = no.side and wt.entity_id = no.entity_id),
-si as (select a.country, a.source, a.entity_id as s1_id, b.entity_id as candidate_id, sum(a.w * b.w) as score from un a join un b on a.country = b.country and a.source = b.source and a.gram = b.gram and a.side = 's1' and b.side = 't' group by all),
-ra as (select *, row_number() over (partition by country, source, s1_id order by round(score, 12) desc, candidate_id) as turn from si where score >= 0.25)
-select s1_id, candidate_id, round(score, 9) as score from ra where turn <= 30"""
+idf as (select country, source, field, gram, count(*) as df, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 as idf from tf join nd using (country, source, field) group by country, source, field, gram having count(*) >= 2),
+wt as (select tf.*, tf * idf as w from tf join idf using (country, source, field, gram)),
+no as (select country, source, field, side, entity_id, sqrt(sum(w * w)) as norm from wt group by all),
+un as materialized (select country, source, field, side, entity_id, gram, w / norm as w from wt join no using (country, source, field, side, entity_id)),
+si as (select country, source, field, a.entity_id as s1_id, b.entity_id as candidate_id, sum(a.w * b.w) as score from un a join un b using (country, source, field, gram) where a.side = 's1' and b.side = 't' group by all),
+ra as (select *, row_number() over (partition by country, source, field, s1_id order by round(score, 12) desc, candidate_id) as turn from si where score >= 0.25)
+"""
+_FIELD = "{{'field': '{0}', 'text': {1}}}"
+_TFIDF = _UNIT.replace("{fields}", f"[{_FIELD.format('name', 'name')}]") + "select s1_id, candidate_id, round(score, 9) as score from ra where turn <= 30"
+_RANKED = _UNIT.replace("{fields}", "[" + ", ".join(_FIELD.format(f, t) for f, t in (("name", "name"), ("address", "address"), ("combined", "trim(name || ' ' || address)"))) + "]") + """,
+ev as (select s1_id, candidate_id, score from ra where turn <= 20 union all select n1.entity_id, nt.entity_id, 1.0 from n1 join nt using (country, name) where name <> ''),
+mx as (select s1_id, candidate_id, max(score) as score from ev group by all)
+select s1_id as source1_entity_id, candidate_id as candidate_entity_id, split_part(candidate_id, '-', 1) as candidate_source, round(score, 9) as retrieval_score,
+row_number() over (partition by s1_id order by round(score, 12) desc, candidate_id)::int as retrieval_rank from mx"""
 
 
 @query(sql=_TFIDF)
@@ -308,9 +404,9 @@ def tfidf_name_topn(v: Views) -> DataFrame:
     return found.select("s1_id", "candidate_id", F.round("score", 9).alias("score"))
 
 
-@query()
+@query(sql=_RANKED)
 def tfidf_candidates_ranked(v: Views) -> DataFrame:
-    return tfidf.candidates(v.s1, v.targets)
+    return tfidf.candidates(v.s1, v.targets).withColumn("retrieval_score", F.round("retrieval_score", 9))
 
 
 @query(sql=_views() + """sc as (select n1.entity_id as s1_id, nt.entity_id as candidate_id, 1.0 as score from n1 join nt using (country, name) where name <> '')
@@ -321,44 +417,53 @@ def candidates_submission_shape(v: Views) -> DataFrame:
 
 # --- Similarities and features ----------------------------------------------------------------------
 
-_SORTED = "array_to_string(list_sort(list_filter(string_split({}, ' '), lambda t: t <> '')), ' ')"
-
-
 @query(sql=_pair_sql() + f"z as (select 1) select s1_id, candidate_id, {_ratio('a', 'b')} as score from c")
 def fuzzy_ratio(v: Views) -> DataFrame:
     a, b = text.normalize_basic("s1_business_name"), text.normalize_basic("candidate_business_name")
     return v.pair_texts().select("s1_id", "candidate_id", fuzzy.ratio(a, b).alias("score"))
 
 
-@query(sql=_pair_sql() + f"d as (select s1_id, candidate_id, {_SORTED.format('a')} as a, {_SORTED.format('b')} as b from c) select s1_id, candidate_id, {_ratio('a', 'b')} as score from d")
+@query(sql=_pair_sql() + f"d as materialized (select s1_id, candidate_id, {_SORTED.format('a')} as a, {_SORTED.format('b')} as b from c) select s1_id, candidate_id, {_ratio('a', 'b')} as score from d")
 def fuzzy_token_sort(v: Views) -> DataFrame:
     a, b = text.normalize_basic("s1_business_name"), text.normalize_basic("candidate_business_name")
     return v.pair_texts().select("s1_id", "candidate_id", fuzzy.token_sort_ratio(a, b).alias("score"))
 
 
-_SET = _pair_sql() + f"""t as (select s1_id, candidate_id, list_distinct(list_filter(string_split(a, ' '), lambda t: t <> '')) as ta, list_distinct(list_filter(string_split(b, ' '), lambda t: t <> '')) as tb from c),
-s as (select s1_id, candidate_id, len(ta) as na, len(tb) as nb, array_to_string(list_sort(list_intersect(ta, tb)), ' ') as i,
-  array_to_string(list_sort(list_filter(ta, lambda t: not list_contains(tb, t))), ' ') as x, array_to_string(list_sort(list_filter(tb, lambda t: not list_contains(ta, t))), ' ') as y from t),
-l as (select *, case when length(i) > 0 then 1 else 0 end as g, length(x) + length(y) - 2 * {_lcs('x', 'y')} as indel from s)
-select s1_id, candidate_id, round(case when na = 0 or nb = 0 then 0.0 when g = 1 and (length(x) = 0 or length(y) = 0) then 100.0
-  else greatest(100 * (1 - indel::double / (2 * length(i) + 2 * g + length(x) + length(y))),
-    case when g = 1 then 100 * (1 - (1 + length(x))::double / (2 * length(i) + 1 + length(x))) else 0 end,
-    case when g = 1 then 100 * (1 - (1 + length(y))::double / (2 * length(i) + 1 + length(y))) else 0 end) end, 9)::double as score from l"""
+def _distinct_tokens(c: str) -> str:
+    return f"list_distinct({_TOKENS.format(c)})"
 
 
-@query(sql=_SET)
+@query(sql=_pair_sql() + f"""t as materialized (select s1_id, candidate_id, {_distinct_tokens('a')} as ta, {_distinct_tokens('b')} as tb from c)
+select s1_id, candidate_id, round({_set_ratio('ta', 'tb')}, 9)::double as score from t""")
 def fuzzy_token_set(v: Views) -> DataFrame:
     a, b = text.normalize_basic("s1_business_name"), text.normalize_basic("candidate_business_name")
     return v.pair_texts().select("s1_id", "candidate_id", F.round(fuzzy.token_set_ratio(a, b), 9).alias("score"))
 
 
-@query()
+@query(sql=_pair_sql() + f"z as (select 1) select s1_id, candidate_id, {_partial('a', 'b')} as score from c")
 def fuzzy_partial(v: Views) -> DataFrame:
     a, b = text.normalize_basic("s1_business_name"), text.normalize_basic("candidate_business_name")
     return v.pair_texts().select("s1_id", "candidate_id", fuzzy.partial_ratio(a, b).alias("score"))
 
 
-@query()
+def _features_sql() -> str:
+    raw, scores, out = [], [], []
+    for part, a, b in (("name", "a", "b"), ("address", "aa", "ba")):
+        raw += [f"{score} as {part}_{label}" for label, score in _four(a, b).items()]
+        scores += [f"(case when {a} = '' or {b} = '' then 0.0 else {part}_{label} / 100 end)::double as {part}_{label}" for label in fuzzy.SCORES]
+        scores += [f"({a} <> '' and {a} = {b})::int::double as {part}_exact",
+                   f"(case when {a} = '' or {b} = '' then 0 else least(length({a}), length({b}))::double / greatest(length({a}), length({b})) end)::double as {part}_length_ratio",
+                   f"(case when {a} = '' or {b} = '' then 0.0 else greatest({', '.join(f'{part}_{label}' for label in fuzzy.SCORES)}) / 100 end)::double as max_{part}_similarity"]
+    whole = _pair_sql() + f"""k as materialized ({_prepared('c', 'a', 'b', 'aa', 'ba')}), r as materialized (select k.*, {', '.join(raw)} from k), x as (select s1_id, candidate_id, {', '.join(scores)} from r)
+"""
+    out = [f"{f}::float as {f}" for f in FEATURES_16 if f not in ("same_country", "combined_similarity")]
+    return whole + f"""select s1.business_name as s1_business_name, s1.business_address as s1_business_address, s1.country as s1_country, o.business_name as candidate_business_name,
+o.business_address as candidate_business_address, o.country as candidate_country, s1_id, candidate_id, {', '.join(out)}, (s1.country = o.country)::int::float as same_country,
+(0.6::double * max_name_similarity + 0.4::double * max_address_similarity)::float as combined_similarity
+from x join s1 on s1.entity_id = s1_id join (select * from s2 union all select * from s3) o on o.entity_id = candidate_id"""
+
+
+@query(sql=_features_sql())
 def features_16_matrix(v: Views) -> DataFrame:
     return features_16(v.pair_texts())
 
@@ -371,10 +476,34 @@ def features_16_exact(v: Views) -> DataFrame:
     return features_16(v.pair_texts()).select("s1_id", "candidate_id", "name_exact", "name_length_ratio", "address_exact", "address_length_ratio", "same_country")
 
 
-@query()
+def _features_26_sql() -> str:
+    def row(part: str, a: str, b: str) -> str:
+        four = _four(a, b)
+        named = {f"{part}1_missing": f"({a} = '')::int", f"{part}2_missing": f"({b} = '')::int", f"{part}_exact": f"({a} = {b})::int",
+                 f"{part}_ascii_exact": f"(strip_accents({a}) = strip_accents({b}))::int", f"{part}_ratio": f"{four['ratio']} / 100", f"{part}_partial_ratio": f"{four['partial_ratio']} / 100",
+                 f"{part}_token_sort_ratio": f"{four['token_sort']} / 100", f"{part}_token_set_ratio": f"round({four['token_set']} / 100, 9)"}
+        x, y = f"t_{a}", f"t_{b}"
+        share = lambda p, q, below: f"case when len({p}) = 0 and len({q}) = 0 then 1.0 when len({p}) = 0 or len({q}) = 0 then 0.0 else len(list_intersect({p}, {q}))::double / {below} end::double"
+        named[f"{part}_token_jaccard"] = share(x, y, f"len(list_distinct(list_concat({x}, {y})))")
+        if part == "address":
+            p, q = (f"list_distinct(regexp_extract_all({c}, '\\d+'))" for c in (a, b))
+            named["address_number_overlap"] = share(p, q, f"greatest(len({p}), len({q}))")
+        named[f"{part}_length_ratio"] = f"case when {a} = '' and {b} = '' then 1.0 when {a} = '' or {b} = '' then 0.0 else least(length({a}), length({b}))::double / greatest(length({a}), length({b})) end::double"
+        return ", ".join(f"{e} as {n}" for n, e in named.items())
+
+    texts = ", ".join(f"{_unicode(f'coalesce({t}.business_{c}, {chr(39) * 2})', '' if c == 'name' else '-', c == 'name')} as {p}{c[0]}" for p, t in (("x", "s1"), ("y", "o")) for c in ("name", "address"))
+    return f"""with {_raw(CUSTOMERS)}, o as (select * from s2 union all select * from s3),
+c as (select s1_id, candidate_id, s1.business_name as s1_business_name, s1.business_address as s1_business_address, s1.country as s1_country, o.business_name as candidate_business_name,
+  o.business_address as candidate_business_address, o.country as candidate_country, {texts} from cand join s1 on s1_id = s1.entity_id join o on candidate_id = o.entity_id),
+k as materialized ({_prepared('c', 'xn', 'xa', 'yn', 'ya')})
+select * exclude (xn, xa, yn, ya, s_xn, s_xa, s_yn, s_ya, t_xn, t_xa, t_yn, t_ya), {row('name', 'xn', 'yn')}, {row('address', 'xa', 'ya')}, (s1_country <> '' and lower(s1_country) = lower(candidate_country))::int as same_country, split_part(candidate_id, '-', 1) as candidate_source,
+(candidate_id like 'S2-%')::int as candidate_is_s2, (candidate_id like 'S3-%')::int as candidate_is_s3, 0.5::double as retrieval_score, 1.0::double as retrieval_rank from k"""
+
+
+@query(sql=_features_26_sql())
 def features_26_extended(v: Views) -> DataFrame:
     both = v.pair_texts().withColumns({"candidate_source": text.id_source("candidate_id"), "retrieval_score": F.lit("0.5"), "retrieval_rank": F.lit(1)})
-    return features_26(both)
+    return features_26(both).withColumns({c: F.round(c, 9) for c in ("name_token_set_ratio", "address_token_set_ratio")})
 
 
 # --- Labels and metrics -----------------------------------------------------------------------------
@@ -505,12 +634,13 @@ def _fitted(v: Views):
     return fitted, marked.where("split = 'validation'").drop("split")
 
 
-@query()
+@query(sql=f"""with {_raw(CUSTOMERS)}, r as (select entity_id, country, row_number() over (partition by country order by md5('42-' || entity_id), entity_id) as turn, count(*) over (partition by country) as n from s1)
+select entity_id, country, case when turn <= ceil(n * 20 / 100.0) then 'validation' else 'train' end as split from r""")
 def entity_split(v: Views) -> DataFrame:
     return model.entity_split(v.raw("s1"))
 
 
-@query()
+@query(sql=f"with {_raw(CUSTOMERS)} select * from s1 order by md5('42-' || entity_id), entity_id limit 100")
 def entity_sample(v: Views) -> DataFrame:
     return model.entity_sample(v.raw("s1"), 100)
 
@@ -649,7 +779,11 @@ def tracker_daily_counts(v: Views) -> DataFrame:
     return reports.daily_submissions(rows)
 
 
-@query()
+_MARKED = " || ".join(f"case when {c} is null then 'n;' else 'v' || length({c}) || ':' || {c} end" for c in tables.RECORD.names)
+
+
+@query(sql=f"""with {_raw(CUSTOMERS)}, h as (select md5({_MARKED}) as h from (select * from s1 union all select * from s2 union all select * from s3))
+select count(*) as rows, bit_xor(('0x' || substr(h, 1, 15))::bigint) as xor_hash, sum(('0x' || substr(h, 17, 15))::bigint)::varchar as sum_hash from h""")
 def content_fingerprint(v: Views) -> DataFrame:
     return tables.fingerprint(v.all_raw)
 

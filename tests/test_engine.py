@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.functions import fuzzy, text
+from kindred.functions import fuzzy, subsequence, text
 from kindred.functions.features import FEATURES_16, features_16
 from kindred.operators import blocking, evaluate, model, pairs, qa, rare, tfidf
 from kindred.plans import resolve
@@ -25,7 +25,7 @@ def test_scores_match_brute_force():
     word = lambda n: "".join(rng.choices("abcdefg ", k=rng.randint(0, n)))
     for _ in range(300):
         a, b = word(12), word(12)
-        assert fuzzy.lcs(a, b) == lcs_table(a, b)
+        assert subsequence.lcs(a, b) == lcs_table(a, b)
         s, t = (a, b) if len(a) <= len(b) else (b, a)
         ways = [(s, t), (t, s)] if len(s) == len(t) else [(s, t)]
         best = 0.0
