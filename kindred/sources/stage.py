@@ -7,7 +7,7 @@ import contextlib
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +35,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: its lineage ends there.
 
     Lost executors cost only the tasks that read the table, and a table that several branches read
-    is computed once. Tables go when the driver's Python ends; ``scratch`` removes those written inside it before.
+    is computed once. Tables go when the driver's Python ends.
     """
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/kindred/{uuid.uuid4().hex}"
@@ -57,15 +57,12 @@ def _remove(spark: SparkSession, folders: list[str]) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-@contextlib.contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Removes, at its end, the tables written inside it: for callers that have stored what they want by then."""
+def finished(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` written; the tables that were written on the way to it are removed."""
     app = spark.sparkContext.applicationId
     before = len(_tables.get(app, []))
-    try:
-        yield
-    finally:
-        made = _tables.get(app, [])
-        inside = made[before:]
-        del made[before:]
-        _remove(spark, inside)
+    out = written(make(), label)
+    between = _tables[app][before:-1]
+    del _tables[app][before:-1]
+    _remove(spark, between)
+    return out
