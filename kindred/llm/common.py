@@ -1,17 +1,14 @@
-"""Shared plumbing of the training-data operators: durable tables, Arrow batches, components."""
+"""Shared plumbing of the training-data operators: Arrow batches, filters, components; tables are written by ``sources.stage``."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import shutil
-import tempfile
-import uuid
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.sources.stage import finished, written
+
+__all__ = ["bounded_batches", "components", "finished", "lower_ascii", "read_table", "roughly_among", "written"]
+
 #: ASCII white space as the contracts define it: [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,65 +16,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bounds of one Arrow batch sent to a Python worker; very long texts travel in small batches.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
-_own_dirs: dict[str, str] = {}
-#: Folders of the tables written so far, by application.
-_tables: dict[str, list[str]] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``. In local mode alone, a temporary one where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        own = tempfile.mkdtemp(prefix="kindred-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        _own_dirs[app] = f"file://{own}"
-    return _own_dirs[app]
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back: its lineage ends there.
-
-    Lost executors cost only the tasks that read the table, and a table that several branches read
-    is computed once. Tables go when the driver's Python ends; ``scratch`` removes those written inside it before.
-    """
-    spark = df.sparkSession
-    folder = f"{shared_dir(spark)}/kindred/{uuid.uuid4().hex}"
-    app = spark.sparkContext.applicationId
-    if app not in _tables:
-        _tables[app] = []
-        atexit.register(_remove, spark, _tables[app])
-    _tables[app].append(folder)
-    df.write.parquet(f"{folder}/{label}")
-    return spark.read.schema(df.schema).parquet(f"{folder}/{label}")
-
-
-def _remove(spark: SparkSession, folders: list[str]) -> None:
-    """Deletes folders, as far as the application is still there."""
-    with contextlib.suppress(Exception):
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        while folders:
-            path = jvm.org.apache.hadoop.fs.Path(folders.pop())
-            path.getFileSystem(conf).delete(path, True)
-
-
-@contextlib.contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Removes, at its end, the tables written inside it: for callers that have stored what they want by then."""
-    app = spark.sparkContext.applicationId
-    before = len(_tables.get(app, []))
-    try:
-        yield
-    finally:
-        made = _tables.get(app, [])
-        inside = made[before:]
-        del made[before:]
-        _remove(spark, inside)
-
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by rows and bytes, unless the session already states a bound."""

@@ -3,9 +3,9 @@
 k(x, y) is the mean over n of |G_n(x) & G_n(y)| / sqrt(|G_n(x)| |G_n(y)|), where G_n are the distinct byte
 n-grams of the lower-cased letters of the whole text. The classifier sees only the text.
 
-Scale: the fit uses a bounded sample (``per_class`` labelled rows of each of the ``max_classes`` most frequent
-labels, chosen by hash) on the driver; the model is a few MB and is broadcast. Scoring is one narrow pass:
-a batch of presence rows times the landmark matrix, times the ridge weights.
+Scale: the fit uses a bounded sample on the driver: ``per_class`` labelled rows of each label, chosen by hash in two
+levels on ids alone, and of those as many as fit into ``sample_chars`` characters. The model is a few MB and is broadcast. Scoring
+is one narrow pass: a batch of presence rows times the landmark matrix, times the ridge weights.
 """
 
 from __future__ import annotations
@@ -14,27 +14,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import bounded_batches
+from kindred.llm.common import bounded_batches, written
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 _BATCH = 256
 
 
+#: What is no letter and no mark on one: vowel signs belong to their letters.
+_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
+#: The same for the characters of most texts, from a table of the code points below 0x250.
+_LATIN = {c: " " for c in range(0x250) if not chr(c).isalpha()}
+_BEYOND = regex.compile("[^\x00-\u024f]")
+
+
+def letters(text: str) -> str:
+    """Lower-cased letters with their marks; runs of all else are one space, one stands at either end."""
+    text = text.lower()
+    text = _OTHER.sub(" ", text) if _BEYOND.search(text) else text.translate(_LATIN)
+    return f" {' '.join(text.split())} "
+
+
 def _codes(text: str) -> list[np.ndarray]:
-    """Distinct codes of the 1- to 3-grams of the text's letters, runs of other characters one space."""
-    clean = "".join([c if c.isalpha() else " " for c in text.lower()])
-    raw = np.frombuffer((" " + " ".join(clean.split()) + " ").encode("utf-8", "surrogatepass"), np.uint8).astype(np.int32)
+    """Codes of the 1- to 3-grams of the text's letters."""
+    raw = np.frombuffer(letters(text).encode("utf-8", "surrogatepass"), np.uint8).astype(np.int32)
     two = raw[:-1] << 8 | raw[1:]
     three = two[:-1] << 8 | raw[2:]
     return [raw, two, three]
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and any(map(str.isalpha, text))
+    return bool(text) and _LETTER.search(text) is not None
 
 
 class Spectrum:
@@ -125,18 +140,31 @@ class Model:
 
 
 def fit(
-    labelled: DataFrame, per_class: int = 400, max_classes: int = 200, landmarks: int = 160, ridge: float = 0.1, seed: int = 7
+    labelled: DataFrame, per_class: int = 400, max_classes: int = 1000, landmarks: int = 160, ridge: float = 0.1, sample_chars: int = 64_000_000, seed: int = 7
 ) -> Model | None:
-    """Model of (doc_id, text, lang) rows; null with no labelled text that has a letter.
+    """Model of (doc_id, text, lang) rows; null with no labelled text that has a letter. Other columns are not read.
 
-    Bounds: ``per_class`` rows of each label (least xxhash64 of id and text), ``max_classes`` labels.
+    Bounds of the sample: ``per_class`` rows of each label (least digest of id and text), and of those, turn by turn through the
+    labels, as many as have ``sample_chars`` characters together; the first row of each label always counts. More than
+    ``max_classes`` labels raise an error: none may silently never be named. Rows with a null text or label, or without a letter, teach
+    nothing; repeated rows count once each; a label named ``und`` is no language.
     """
     rows = labelled.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
-    rows = rows.where(F.col("lang") != UNKNOWN)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    ids = rows.select("doc_id", "text", "lang").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_class)
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_classes)
-    sample = ids.join(common, "lang", "left_semi").select("text", "lang").toPandas().sort_values(["lang", "text"])
+    rows = rows.where(F.col("lang") != UNKNOWN).select(F.col("doc_id").cast("string").alias("id"), "lang", F.col("text").cast("string").alias("text"))
+    digest = F.md5(F.concat(F.coalesce("id", F.lit("")), F.lit("|"), F.md5("text")))
+    narrow = rows.select("lang", digest.alias("digest"), F.char_length("text").alias("n"))
+    # Two levels: the least digests of each part of a label, then of the label.
+    part = F.pmod(F.xxhash64("digest"), F.lit(64))
+    first = Window.partitionBy("lang", "part").orderBy("digest")
+    few = narrow.withColumn("part", part).withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= per_class)
+    few = few.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("digest"))).where(F.col("turn") <= per_class)
+    few = written(few.select("lang", "digest", "n", "turn"), "sample")
+    if few.select("lang").distinct().limit(max_classes + 1).count() > max_classes:
+        raise ValueError(f"more than {max_classes} labels")
+    upto = F.sum("n").over(Window.orderBy("turn", "lang"))  # a sample: max_classes * per_class narrow rows at most
+    ids = few.withColumn("upto", upto).where((F.col("upto") <= sample_chars) | (F.col("turn") == 1)).select("digest")
+    sample = rows.withColumn("digest", digest).join(F.broadcast(ids), "digest", "left_semi").dropDuplicates(["digest", "lang"])
+    sample = sample.select("text", "lang").toPandas().sort_values(["lang", "text"])
     if not len(sample):
         return None
     return Model(sample["text"].tolist(), sample["lang"].tolist(), landmarks, ridge, seed)
@@ -166,8 +194,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     langs[i] = x
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], names=["lang_pred", "score"])
 
-    out = docs.drop("lang_pred", "score").withColumn("__name", name(F.col("text").cast("string")))
-    return out.select("*", "__name.lang_pred", "__name.score").drop("__name")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    # The caller's columns ride in a struct, whatever they are called.
+    out = docs.select(F.struct(*kept).alias("row") if kept else F.lit(None).alias("row"), name(F.col("text").cast("string")).alias("named"))
+    return out.select(*([F.col("row.*")] if kept else []), "named.lang_pred", "named.score")
 
 
 def held_out(doc_id):

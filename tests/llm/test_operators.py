@@ -277,11 +277,17 @@ def test_pipeline(spark, tmp_path, monkeypatch):
     rows = [(i, f"the house number {i} stands here and " + " ".join(f"word{i}x{j}" for j in range(30)) + "\nboilerplate line", "en", f"s{i % 2}", 5) for i in range(12)]
     rows += [(50, rows[0][1], "en", "s0", 5), (51, "12345", "en", "s0", 5), (52, None, None, None, None)]
     rows += [(None, f"this tree without an id grows there and {' '.join(f'leaf{j}' for j in range(30))}", "en", "s1", 5)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    rows += [(60, "a very long house " + " ".join(f"w{i}" for i in range(40_000)), "en", "s1", 5), (61, "Ja.", "en", "s0", 5)]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, n_lines int, component_id string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()}
+    assert kept == {None, *range(12), 50, 60, 61}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     ids = {r["doc_id"] for r in out}
-    assert ids <= {None, *range(12)} and len(ids) >= 10 and None in ids and all(r["exact"] and r["n_tokens"] for r in out)
+    assert ids <= {None, *range(12), 60, 61} and len(ids) >= 10 and None in ids and all(r["exact"] and r["n_tokens"] for r in out)
     assert len(corpus_pipeline.STAGES) == 5
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
 
 
 
@@ -419,3 +425,36 @@ def test_main_text_tree_uses_words_and_densities(spark):
     rows = [(1, "<p>" + _prose(30, "a") + "</p>", "old", 5)]
     got = html_text.extract(spark.createDataFrame(rows, "page_id long, html string, text string, words int")).first()
     assert got["text"] == _prose(30, "a") and got["words"] == 5
+
+
+def test_language_id_kernel_equals_a_plain_computation():
+    texts = ["The house, and the tree", "le chat et la maison", "der Baum", "x", "haus und baum 12", "été"]
+    model = language_id.Model(texts[:4], ["en", "fr", "de", "de"], 8, 0.1, 7)
+
+    def grams(text, n):
+        raw = language_id.letters(text).encode()
+        return {raw[i : i + n] for i in range(len(raw) - n + 1)}
+
+    marks = [texts[0], texts[1], texts[2], texts[3]]
+    plain = np.array([[sum(len(grams(x, n) & grams(y, n)) / np.sqrt(max(1, len(grams(x, n))) * max(1, len(grams(y, n)))) for n in (1, 2, 3)) / 3 for y in marks] for x in texts])
+    got = model.kernel(texts)
+    # Landmarks come in the order in which they were picked; every plain column is among the kernel's.
+    for column in plain.T:
+        assert min(np.abs(got - column[:, None]).max(axis=0)) < 1e-6
+    assert model.predict(texts[:3])[0] == ["en", "fr", "de"]
+    assert language_id.letters("नमस्ते, दुनिया! Ünï1x") == " नमस्ते दुनिया ünï x "
+
+
+def test_language_id_odd_columns_and_ties(spark):
+    rows = [(i, t, lang, 1, 2) for i, (t, lang) in enumerate([("the house and the tree", "en"), ("le chat et la maison", "fr")] * 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, __name int, named int")
+    fitted = language_id.fit(docs)
+    got = language_id.predict(docs, fitted)
+    assert got.columns == ["doc_id", "text", "lang", "__name", "named", "lang_pred", "score"]
+    assert all(r["lang"] == r["lang_pred"] and r["__name"] == 1 for r in got.collect())
+    assert language_id.predict(docs.select("text"), fitted).columns == ["text", "lang_pred", "score"]
+    with pytest.raises(ValueError, match="labels"):
+        language_id.fit(docs, max_classes=1)
+    # Short clean texts of a known language are named, and the pipeline keeps them.
+    small = language_id.fit(docs, sample_chars=1)
+    assert set(small.classes) == {"en", "fr"}
