@@ -9,8 +9,8 @@ Fit: k-means on at most ``sample`` vectors (by hash), on the driver. How many li
 calibrated there: the least share of lists that finds ``recall`` of the sample's true neighbours.
 Every vector is indexed.
 
-Scale: lists are cut into slices of at most about ``slice_rows`` and queries into blocks, so that no task holds
-more than one slice and one block. Each query first scans its nearest list; its tenth best then prunes
+Scale: lists are cut into slices of at most about ``slice_rows`` and the queries that probe one list into blocks, so that no
+task holds more than one slice and one block; a list's rows are copied once for each block of its own queries. Each query first scans its nearest list; its tenth best then prunes
 all other lists, which return only what beats it.
 """
 
@@ -169,7 +169,6 @@ def nearest(
     for r in rows.groupBy("list").count().collect():  # one row per list: max_lists at most
         sizes[r["list"]] = r["count"]
     slices = np.maximum(1, -(-sizes // slice_rows))
-    blocks = max(1, -(-queries.count() // query_block))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -181,23 +180,28 @@ def nearest(
 
     asked = queries.select(F.col("vec_id").alias("query_id"), "embedding")
     asked = written(asked.mapInArrow(probe, "query_id long, embedding array<double>, probes array<int>"), "queries")
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    n_slices = F.element_at(F.array(*(F.lit(int(s)) for s in slices)), F.col("list") + 1)
+    per_list = lambda values: F.element_at(F.array(*(F.lit(int(v)) for v in values)), F.col("list") + 1)
+    n_slices = per_list(slices)
     rows = rows.withColumn("slice", F.pmod(F.xxhash64("vec_id"), n_slices).cast("int"))
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     cell = ["list", "slice", "block"]
 
     def scanned(probing: DataFrame) -> DataFrame:
+        asking = np.zeros(len(sizes), np.int64)
+        for r in probing.groupBy("list").count().collect():  # max_lists rows at most
+            asking[r["list"]] = r["count"]
+        n_blocks = per_list(-(-asking // query_block))
+        probing = probing.withColumn("block", F.pmod(F.xxhash64("query_id"), n_blocks).cast("int"))
         probing = probing.withColumn("slice", F.explode(F.sequence(F.lit(0), n_slices - 1)))
-        cells = rows.groupBy(*cell).cogroup(probing.groupBy(*cell))
+        copies = rows.where(n_blocks > 0).withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        cells = copies.groupBy(*cell).cogroup(probing.groupBy(*cell))
         return cells.applyInArrow(_scan_cells(index, k, dims), _FOUND)
 
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    home = asked.select("query_id", "embedding", "block", F.col("probes")[0].alias("list"), F.lit(None).cast("double").alias("best"))
+    home = asked.select("query_id", "embedding", F.col("probes")[0].alias("list"), F.lit(None).cast("double").alias("best"))
     top = scanned(home).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     first = written(top, "first")
     best = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("best"))
-    others = asked.select("query_id", "embedding", "block", F.explode(F.slice("probes", 2, F.greatest(F.size("probes"), F.lit(1)))).alias("list"))
+    others = asked.select("query_id", "embedding", F.explode(F.slice("probes", 2, F.greatest(F.size("probes"), F.lit(1)))).alias("list"))
     others = others.join(best, "query_id", "left")
     both = first.drop("rank").unionByName(scanned(others))
     return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

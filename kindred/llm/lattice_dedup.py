@@ -5,7 +5,7 @@ and Sloane, 1982) and hashed together to a cell. A vector stands in its own cell
 that replace any of its three points by the nearest neighbouring lattice point. Pairs that meet are
 verified by cosine in double precision on the original vectors.
 
-Scale: equal vectors collapse to one representative with a count. Only ids travel to the cells; vectors join those
+Scale: equal vectors collapse, by a 128-bit digest, to one representative with a count. Only ids travel to the cells; vectors join those
 in which somebody meets. A crowded cell is dealt out as pairs of blocks, compared as matrix products, and
 returns counts and a spanning forest per representative, never its pairs. A pair that meets in several
 cells is counted in the first only, which both vectors' codes tell without any exchange: projections
@@ -230,10 +230,12 @@ def embedding_groups(
     bounded_batches(spark)
     base, dims = usable(vectors)
     lattice = Lattice(dims, similarity, tables, seed)
-    members = written(base.select("vec_id", "embedding"), "vectors")
-    classes = members.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
-    reps = written(classes, "classes")
-    belongs = members.join(reps, "embedding").select("vec_id", "rep", "n")
+    digests = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2")]
+    members = written(base.select("vec_id", *digests, "embedding"), "vectors")
+    # A table of its own, so that the joins with it can split a digest that very many copies share.
+    classes = written(members.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "classes")
+    reps = written(members.select(F.col("vec_id").alias("rep"), "embedding").join(classes.select("rep", "n"), "rep"), "representatives")
+    belongs = members.select("vec_id", "h1", "h2").join(classes, ["h1", "h2"]).select("vec_id", "rep", "n")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -265,7 +267,8 @@ def embedding_groups(
     found = written(use.mapInArrow(_compare(lattice, similarity, dims), _LINKS), "links")
     groups = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "groups")
     counts = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
-    out = belongs.join(counts, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    told = written(counts.join(groups.withColumnRenamed("node", "rep"), "rep", "left"), "told")
+    out = belongs.join(told, "rep", "left")
     out = out.select(
         "vec_id", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"))

@@ -93,7 +93,33 @@ QUERIES = {f.__name__: f for f in (
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+def _reach(links: str) -> str:
+    """CTE (node, root) of every node with the smaller nodes that its links reach, itself included."""
+    return f"r(node, root) as (select id, id from ids union select {links}.b, r.root from r join {links} on {links}.a = r.node where r.root < {links}.b)"
+
+
 ORACLE_SQL = {
+    "op2_lattice_dedup": f"""
+with recursive v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null and vec_id is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n as (select vec_id, e, sqrt(list_dot_product(e, e)) as n from v),
+l as (select a.vec_id as a, b.vec_id as b from n a join n b on a.vec_id <> b.vec_id where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+ids as (select distinct vec_id as id from embeddings), {_reach("l")},
+c as (select node, min(root) as component_id from r group by node)
+select vec_id, coalesce(k.n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from (select distinct vec_id from embeddings) join c on node = vec_id left join (select a, count(*) as n from l group by a) k on k.a = vec_id""",
+    "op10_odd_minhash": rf"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') as w from documents),
+x as (select doc_id, len(w) as n, unnest(w) as word, generate_subscripts(w, 1) as i from w),
+y as (select doc_id, n, i, concat_ws(' ', word, lead(word, 1) over o, lead(word, 2) over o, lead(word, 3) over o, lead(word, 4) over o) as gram from x window o as (partition by doc_id order by i)),
+g as materialized (select distinct doc_id, gram from y where i <= greatest(n - 4, 1)),
+z as (select doc_id, count(*) as n from g group by doc_id),
+m as (select a.doc_id as a, b.doc_id as b, count(*) as n from g a join g b on a.gram = b.gram and a.doc_id <> b.doc_id group by all),
+l as materialized (select a, b from m join z za on za.doc_id = a join z zb on zb.doc_id = b where 100 * m.n >= 75 * (za.n + zb.n - m.n)),
+ids as (select doc_id as id from documents), {_reach("l")},
+c as (select node, min(root) as component_id from r group by node)
+select d.doc_id, coalesce(z.n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join c on node = d.doc_id left join z on z.doc_id = d.doc_id""",
     "op3_source_mix": r"""
 with s as (
   select doc_id, source, case when text is null then 0 else len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) end::bigint as size

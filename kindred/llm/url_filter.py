@@ -5,8 +5,8 @@ A list entry says what holds for a host, a domain with its subdomains, or a URL
 as-of join matches every capture with the entries active when it was fetched.
 
 Scale: a capture meets the list on a handful of exact keys (its host, parent domains, path prefixes), so the
-join is an equi-join; captures of one key are salted over ``salts`` parts, to each of which the list's
-intervals are copied, so a host with a third of all captures is spread. Verdicts are partial aggregates.
+join is an equi-join. Keys that no entry names, as most are, are dropped by a bitmap of the list's keys where they arise. The
+intervals are a table of their own, so that the join can split a key with very many captures. Verdicts are partial aggregates.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import written
+from kindred.llm.common import roughly_among, written
 
 
 def host_of(url: Column) -> Column:
@@ -28,7 +28,7 @@ def path_of(url: Column) -> Column:
 
 
 def url_keys(url: Column) -> Column:
-    """Keys on which a list can name a URL: ``h:host``, ``d:`` it and its parents, ``p:host/path/`` prefixes by segment."""
+    """Keys on which a list can name a URL (null, or without a host: none): ``h:host``, ``d:`` it and its parents, ``p:host/path/`` prefixes by segment."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.", -1)
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
@@ -45,7 +45,8 @@ def intervals(entries: DataFrame) -> DataFrame:
     """``key, action, since, until`` of dated entries ``scope, value, action, since``.
 
     scope: host, domain or prefix. Entries of one key with the same date: the last action in the order block,
-    clear, allow holds. Entries with a null field or an unknown scope or action say nothing.
+    clear, allow holds. Entries with a null field or an unknown scope or action say nothing; repeated entries say it once; no
+    entries give no intervals. Other columns are not read.
     """
     letter = F.when(F.col("scope") == "host", "h:").when(F.col("scope") == "domain", "d:").when(F.col("scope") == "prefix", "p:")
     e = entries.where(F.col("action").isin("block", "allow", "clear"))
@@ -57,7 +58,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     return e.withColumn("until", F.lead("since").over(order)).where("action <> 'clear'")
 
 
-def filter_urls(captures: DataFrame, entries: DataFrame, salts: int = 16) -> DataFrame:
+def filter_urls(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Verdict of every capture: its columns ``page_id, url, fetched_at``, and ``verdict, matched``.
 
     The most specific active entry decides: a prefix before a host before a domain, longer before shorter.
@@ -68,9 +69,8 @@ def filter_urls(captures: DataFrame, entries: DataFrame, salts: int = 16) -> Dat
     rows = captures.select("page_id", F.col("url").cast("string").alias("url"), F.col("fetched_at").cast("timestamp").alias("fetched_at"))
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "captures")
     keyed = rows.select("row", "fetched_at", F.explode(url_keys(F.col("url"))).alias("key"))
-    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
-    spans = intervals(entries).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    active = keyed.join(spans, ["key", "salt"]).where("since <= fetched_at and (until is null or fetched_at < until)")
+    spans = written(intervals(entries), "intervals")
+    active = roughly_among(keyed, spans.select("key"), "key").join(spans, "key").where("since <= fetched_at and (until is null or fetched_at < until)")
     kind = F.when(F.col("key").startswith("p:"), 2).when(F.col("key").startswith("h:"), 1).otherwise(0)
     decided = active.groupBy("row").agg(F.max(F.struct(kind.alias("kind"), F.length("key").alias("n"), "key", "action")).alias("top"))
     out = rows.join(decided, "row", "left")

@@ -458,3 +458,35 @@ def test_language_id_odd_columns_and_ties(spark):
     # Short clean texts of a known language are named, and the pipeline keeps them.
     small = language_id.fit(docs, sample_chars=1)
     assert set(small.classes) == {"en", "fr"}
+
+
+def test_nearest_in_blocks_of_several_lists(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([c + rng.normal(size=(150, 12)) for c in rng.normal(size=(12, 12)) * 4])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 9 = 0"), list_rows=40, slice_rows=30, query_block=7).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    hits = total = 0
+    for q in range(0, len(x), 9):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        want = set(np.lexsort((np.arange(len(x)), d))[:10].tolist())
+        assert [rank for rank, _ in sorted(got[q])] == list(range(1, 11))
+        hits, total = hits + len(want & {v for _, v in got[q]}), total + 10
+    assert hits / total >= 0.9
+
+
+def test_nearest_breaks_ties_by_id(spark):
+    df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(30)] + [(100, [1.0, 0.5])], "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in ann.nearest(df, df.where("vec_id = 100")).collect())
+    assert got == [(i + 1, i, 0.5) for i in range(10)]
+
+
+def test_url_filter_of_long_urls_and_clashing_names(spark):
+    long = "http://h.example/" + "/".join(f"s{i}" for i in range(800)) + "?q=" + "x" * 5000
+    captures = spark.createDataFrame([(1, long, "2024-01-05", "mine", 3)], "page_id long, url string, fetched_at string, key string, row int")
+    entries = spark.createDataFrame([("prefix", "h.example/s0/s1", "block", "2024-01-01", "z")], "scope string, value string, action string, since string, until string").withColumn("since", F.col("since").cast("timestamp"))
+    got = url_filter.filter_urls(captures, entries).collect()
+    assert [(r["verdict"], r["matched"]) for r in got] == [("block", "p:h.example/s0/s1")]
+    assert url_filter.filter_urls(captures, entries.limit(0)).first()["verdict"] == "allow"
