@@ -84,6 +84,20 @@ def features_26(pairs: DataFrame) -> DataFrame:
                       F.col("__score").alias("retrieval_score"), F.col("__rank").alias("retrieval_rank"))
 
 
+def missed_diagnostics(pairs: DataFrame) -> DataFrame:
+    """``s1_id, candidate_id`` with the 4 name and 3 address scores (0 to 1) that tell why a true pair was missed.
+
+    Needs PAIR_COLUMNS, normalized here. The address's best score leaves the sorted tokens out.
+    """
+    out = pairs.select("s1_id", "candidate_id", *(text.normalize_basic(f"{side}_business_{part}").alias(f"{side}_{part}") for side in ("s1", "candidate") for part in ("name", "address")))
+    out = out.withColumns({f"__{part}": fuzzy.all_scores(F.col(f"s1_{part}"), F.col(f"candidate_{part}")) for part in ("name", "address")})
+    values = []
+    for part, labels in (("name", list(fuzzy.SCORES)), ("address", [x for x in fuzzy.SCORES if x != "token_sort"])):
+        scores = [fuzzy.similarity(F.col(f"__{part}.{x}"), F.col(f"s1_{part}"), F.col(f"candidate_{part}")) for x in labels]
+        values += [c.alias(f"{part}_{x}") for c, x in zip(scores, labels, strict=True)] + [F.greatest(*scores).alias(f"max_{part}")]
+    return out.select("s1_id", "candidate_id", *values)
+
+
 def rerank_scores(pairs: DataFrame) -> DataFrame:
     """``pairs`` of normalized texts with ``name_score`` and ``address_score``: best of ratio, partial and token set."""
     out = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import fuzzy, text
-from kindred.functions.features import FEATURES_16, features_16, features_26
+from kindred.functions.features import FEATURES_16, features_16, features_26, missed_diagnostics
 from kindred.operators import blocking, evaluate, model, pairs, qa, rare, reports, tfidf
 from kindred.plans import resolve
 from kindred.plans.views import CUSTOMERS, DOCUMENTS, PARTS, view
@@ -309,7 +309,9 @@ def v31_cheap_filter(v: Views) -> DataFrame:
     return rare.cheap_filter(_hits(v)).select("s1_id", "candidate_id")
 
 
-_CAP = 20
+_CAP = 512
+#: Production overflows at the cap; the part table is too small to reach it.
+_OVERFLOW = 10
 _KINDS_SQL = {
     "name_address": ("name <> '' and address <> ''", "country, source, name, address", "entity_id", "n1.name = t.name and n1.address = t.address"),
     "name": ("name <> ''", "country, source, name", "address, entity_id", "n1.name = t.name"),
@@ -360,10 +362,10 @@ def exact_key_capped(v: Views) -> DataFrame:
 
 
 @query(PARTS, _views(PARTS) + "z as (select 1) " + " union all ".join(
-    f"select '{k}' as kind, t.source, count(*) as overflow from n1 join (select {part}, count(*) as n from nt where {filled} group by all having count(*) > {_CAP // 2}) t on n1.country = t.country and {on} group by t.source"
+    f"select '{k}' as kind, t.source, count(*) as overflow from n1 join (select {part}, count(*) as n from nt where {filled} group by all having count(*) > {_OVERFLOW}) t on n1.country = t.country and {on} group by t.source"
     for k, (filled, part, _, on) in _KINDS_SQL.items()))
 def exact_key_overflow(v: Views) -> DataFrame:
-    return blocking.exact_overflow(v.s1, v.targets, _CAP // 2)
+    return blocking.exact_overflow(v.s1, v.targets, _OVERFLOW)
 
 
 @query(PARTS, _views(PARTS) + """m as (select n1.entity_id as s1_id, nt.entity_id as candidate_id, 'exact_name' as m from n1 join nt using (country, name) where name <> ''
@@ -553,6 +555,22 @@ def missed_pairs(v: Views) -> DataFrame:
     return evaluate.missed_pairs(v.raw("truth"), v.raw("cand"))
 
 
+def _diagnostics_sql() -> str:
+    scores = []
+    for part, a, b in (("name", "a", "b"), ("address", "aa", "ba")):
+        scores += [f"case when {a} = '' or {b} = '' then 0.0 else {score} / 100 end::double as {part}_{label}" for label, score in _four(a, b).items() if (part, label) != ("address", "token_sort")]
+    best = {p: ", ".join(f"{p}_{x}" for x in fuzzy.SCORES if (p, x) != ("address", "token_sort")) for p in ("name", "address")}
+    return (_pair_sql().replace("from cand join n1", "from (select s1_id, candidate_id from tp except select s1_id, candidate_id from cand) join n1") + f"""k as materialized ({_prepared('c', 'a', 'b', 'aa', 'ba')}),
+m as materialized (select s1_id, candidate_id, {', '.join(scores)} from k)
+select s1_id, candidate_id, """ + ", ".join(f"round({c}, 9) as {c}" for p in best for c in best[p].split(", ")) + "".join(f", round(greatest({best[p]}), 9) as max_{p}" for p in best) + " from m")
+
+
+@query(sql=_diagnostics_sql())
+def missed_pair_diagnostics(v: Views) -> DataFrame:
+    out = missed_diagnostics(v.pair_texts(evaluate.missed_pairs(v.raw("truth"), v.raw("cand"))))
+    return out.select("s1_id", "candidate_id", *(F.round(c, 9).alias(c) for c in out.columns[2:]))
+
+
 @query(sql=_SCORED + """, q as (select quantile_cont(match_probability, [0.10, 0.25, 0.50, 0.75, 0.90, 0.95]) as v from sc)
 select 'match_probability' as feature, unnest([0.10, 0.25, 0.50, 0.75, 0.90, 0.95])::double as quantile, round(unnest(v), 9) as value from q""")
 def missed_similarity_quantiles(v: Views) -> DataFrame:
@@ -742,9 +760,9 @@ def coverage_antijoins(v: Views) -> DataFrame:
     return pairs.missing_and_extra(v.raw("s1").withColumnRenamed("entity_id", "source1_entity_id"), _faulty(v)[0], "source1_entity_id")
 
 
-@query(PARTS, f"with {_raw(PARTS)} select business_name, count(*) as n from s2 group by 1 having count(*) > 1")
+@query(PARTS, f"with {_raw(PARTS)} select business_name, count(*) as n from (select * from s1 union all select * from s2 union all select * from s3) group by 1 having count(*) > 1")
 def duplicate_ids(v: Views) -> DataFrame:
-    return pairs.repeated(v.raw("s2"), "business_name")
+    return pairs.repeated(v.all_raw, "business_name")
 
 
 @query(sql=_LISTS + """, x as (select s1_id, list_sort(list(candidate_id)) as c from cd group by 1), y as (select s1_id, list_sort(list(candidate_id)) as t from tp group by 1)
@@ -760,9 +778,9 @@ def id_set_operations(v: Views) -> DataFrame:
 
 
 @query(sql=f"with {_raw(CUSTOMERS)} " + " union all ".join(
-    f"select 's3' as \"table\", '{c}' as \"column\", count(*) as rows, count(*) filter ({c} is null or {c} = '') as missing from s3" for c in tables.RECORD.names))
+    f"select '{t}' as \"table\", '{c}' as \"column\", count(*) as rows, count(*) filter ({c} is null or {c} = '') as missing from {t}" for t in ("s1", "s2", "s3") for c in tables.RECORD.names))
 def profile_sources(v: Views) -> DataFrame:
-    return reports.profile(v.raw("s3"), "s3")
+    return reports.profile(v.raw("s1"), "s1").unionByName(reports.profile(v.raw("s2"), "s2")).unionByName(reports.profile(v.raw("s3"), "s3"))
 
 
 @query(sql=f"with {_raw(CUSTOMERS)} select country, count(*) as records from s1 group by 1")

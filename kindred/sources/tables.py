@@ -7,7 +7,7 @@ import json
 import zipfile
 from pathlib import Path, PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -46,14 +46,32 @@ def with_row_index(df: DataFrame) -> DataFrame:
     return df.withColumn("row_idx", F.monotonically_increasing_id())
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``number, value``: the lines of a text in file order, from 1. Only one count per input split travels."""
+    split, at = F.spark_partition_id().alias("split"), (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("at")
+    lines = spark.read.text(path).select("value", split, at)
+    counts = lines.groupBy("split").agg(F.max("at").alias("n"))
+    before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return lines.join(F.broadcast(starts), "split").select((F.col("start") + F.col("at")).alias("number"), "value")
+
+
 def read_tsv_lenient(spark: SparkSession, path: str, columns) -> tuple[DataFrame, DataFrame]:
-    """(good rows, error rows as ``line``) instead of a failure; a byte order mark is ignored."""
-    schema = StructType([*_schema(columns).fields, StructField("line", StringType())])
-    df = (spark.read.schema(schema).option("sep", "\t").option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-          .option("columnNameOfCorruptRecord", "line").option("nullValue", "\0").csv(path))
+    """(good rows, errors) instead of a failure; a byte order mark is ignored.
+
+    errors: ``number`` of the line, ``reason`` and ``line``; a header that differs is one of them. Blank lines are skipped.
+    """
     names = _schema(columns).names
-    good = df.where("line is null").select(*(F.coalesce(c, F.lit("")).alias(c) for c in names))
-    return good, df.where("line is not null").select("line")
+    lines = numbered_lines(spark, path).withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
+    rows = lines.where("number > 1 and trim(value) <> ''")
+    fields = StructType([*(StructField(f"f{i}", StringType()) for i in range(len(names))), StructField("broken", StringType())])
+    options = {"sep": "\t", "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken", "nullValue": "\0"}
+    parsed = rows.withColumn("x", F.from_csv("value", fields.simpleString(), options))
+    good = F.col("x.broken").isNull()
+    header = lines.where("number = 1").select("number", F.lit("header differs").alias("reason"), F.col("value").alias("line"), F.lower("value").alias("low"))
+    bad = parsed.where(~good).select("number", F.format_string(f"expected {len(names)} fields, found %d", F.size(F.split("value", "\t"))).alias("reason"), F.col("value").alias("line"))
+    errors = header.where(F.col("low") != "\t".join(names).lower()).drop("low").unionByName(bad)
+    return parsed.where(good).select(*(F.coalesce(F.col(f"x.f{i}"), F.lit("")).alias(n) for i, n in enumerate(names))), errors
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -111,8 +129,32 @@ def read_csv(spark: SparkSession, path: str, required=()) -> DataFrame:
     return df.toDF(*names).fillna("")
 
 
+def _file(path: str):
+    """(file system, path) of a path in any store that Spark knows."""
+    spark = SparkSession.active()
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def write_report(report: dict, path: str) -> None:
-    Path(path).write_text(json.dumps(report, indent=2, default=str), encoding="utf-8")
+    """Indented JSON at ``path``, wherever Spark can write."""
+    store, at = _file(path)
+    out = store.create(at, True)
+    out.write(bytearray(json.dumps(report, indent=2, default=str).encode()))
+    out.close()
+
+
+def read_report(path: str) -> dict | None:
+    """A report as it was written, or null where there is none."""
+    store, at = _file(path)
+    if not store.exists(at):
+        return None
+    return json.loads("\n".join(r["value"] for r in SparkSession.active().read.text(str(path)).collect()))
+
+
+def remove_report(path: str) -> None:
+    store, at = _file(path)
+    store.delete(at, False)
 
 
 def report_frame(df: DataFrame) -> DataFrame:
@@ -134,7 +176,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """(path, bytes, sha256) of files below 2 GB each, read where they lie."""
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
@@ -148,6 +190,31 @@ def sha256_of(path: str, chunk: int = 8 << 20) -> dict:
     return {"path": str(path), "bytes": n, "sha256": h.hexdigest()}
 
 
+def code_fingerprint() -> str:
+    """SHA-256 of this package's modules, by name and content."""
+    h = hashlib.sha256()
+    root = Path(__file__).resolve().parents[1]
+    for f in sorted(root.rglob("*.py")):
+        h.update(f"{f.relative_to(root)}\0".encode() + f.read_bytes())
+    return h.hexdigest()
+
+
+def provenance(spark: SparkSession, **paths: str) -> dict:
+    """Fingerprints of the code and of the files under each path, to be compared between the steps of a run."""
+    out = {"code": code_fingerprint()}
+    for name, path in paths.items():
+        files = file_fingerprints(spark, path).select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "bytes", "sha256")
+        row = files.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.md5(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "name", "sha256"))), ",")).alias("h")).first()
+        out[name] = {"files": row["n"], "bytes": row["bytes"], "digest": row["h"]}
+    return out
+
+
+def require_same_provenance(one: dict, other: dict) -> None:
+    """Raise with the names on which two provenances differ."""
+    if differ := sorted(k for k in {*one, *other} if one.get(k) != other.get(k)):
+        raise ValueError(f"provenance differs: {', '.join(differ)}")
+
+
 def write_package(path: str, members: dict[str, str], required=()) -> dict:
     """ZIP of ``name -> file``; required members must be there, names must be safe and distinct. Returns member hashes."""
     if missing := sorted(set(required) - set(members)):

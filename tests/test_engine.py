@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions import fuzzy, subsequence, text
-from kindred.functions.features import FEATURES_16, features_16
-from kindred.operators import blocking, evaluate, model, pairs, qa, rare, tfidf
+from kindred.functions.features import FEATURES_16, features_16, missed_diagnostics
+from kindred.operators import blocking, evaluate, model, pairs, qa, rare, reports, tfidf
 from kindred.plans import resolve
 from kindred.sources import tables
 
@@ -62,16 +62,28 @@ def records(spark, rows):
 
 @pytest.fixture(scope="module")
 def sources(spark):
-    s1 = records(spark, [("S1-1", "Café Étoile", "10 République", "France"), ("S1-2", "", "", "Unknown"), ("S1-3", "Alpha Uniqeu", "34 Rod", "New")])
-    s2 = records(spark, [("S2-1", "Café Étoile", "10 République", "France"), ("S2-2", "Alpha Unique", "34 Road", "New"), ("S2-3", "Cafe Etoile", "10 Republique", "US")])
-    s3 = records(spark, [("S3-1", "Cafe Etoile", "10 Republique", "France")])
+    s1 = records(spark, [("S1-11", "Bäckerei Lindgrün", "7 Mühlgasse Graz", "Austria"), ("S1-12", "Nordwind Logistics", "230 Harbour Quay", "Malta"),
+                         ("S1-13", "", "", "Nowhere"), ("S1-14", "Quarzwerk Holdnig", "88 Steinbruch Weg", "Austria")])
+    s2 = records(spark, [("S2-71", "BACKEREI LINDGRUN", "7 Muhlgasse, Graz", "Austria"), ("S2-72", "Bäckerei Lindgrün", "7 Mühlgasse Graz", "Malta"),
+                         ("S2-73", "Quarzwerk Holding", "88 Steinbruchweg", "Austria")])
+    s3 = records(spark, [("S3-31", "Nordwind Logistics", "230 Harbour Quay", "Malta"), ("S3-32", "Bäckerei Lindgrün", "7 Mühlgasse Graz", "Austria")])
     return s1, s2, s3
 
 
 def test_retrieval_stays_in_the_country(spark, sources):
     s1, s2, s3 = sources
-    got = rare.production_candidates(resolve.normalized(s1), blocking.targets(resolve.normalized(s2), resolve.normalized(s3)))
-    assert {(r["s1_id"], r["candidate_id"]) for r in got.collect()} == {("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-3", "S2-2")}
+    s1, others = resolve.normalized(s1), blocking.targets(resolve.normalized(s2), resolve.normalized(s3))
+    got = rare.production_candidates(s1, others).collect()
+    want = {("S1-11", "S2-71"), ("S1-11", "S3-32"), ("S1-12", "S3-31"), ("S1-14", "S2-73")}
+    assert {(r["s1_id"], r["candidate_id"]) for r in got} == want
+    assert {r["candidate_id"] for r in got if r["both_exact"]} == {"S2-71", "S3-32", "S3-31"}
+    stored = rare.postings(rare.grams(others))
+    assert {(r["s1_id"], r["candidate_id"]) for r in rare.production_candidates(s1, others, stored).collect()} == want
+    hashed = rare.production_candidates(s1, others, bucket_bits=20).collect()
+    assert {(r["s1_id"], r["candidate_id"]) for r in hashed} >= want
+    assert {(r["s1_id"], r["candidate_id"]) for r in rare.scanning_candidates(s1, others).collect()} == want
+    ranked = tfidf.candidates(s1, others).collect()
+    assert {(r["source1_entity_id"], r["candidate_entity_id"]) for r in ranked if r["retrieval_score"] > 0.99} >= {("S1-12", "S3-31"), ("S1-11", "S3-32")}
 
 
 def test_hot_keys_are_capped_per_source(spark):
@@ -84,33 +96,61 @@ def test_hot_keys_are_capped_per_source(spark):
     assert over == {("name", "S2"): 1, ("address", "S2"): 1, ("name_address", "S2"): 1}
 
 
+PAIR = ", ".join(f"{c} string" for c in ("s1_business_name", "s1_business_address", "s1_country", "candidate_business_name", "candidate_business_address", "candidate_country"))
+
+
 def test_features(spark):
-    rows = [("Café", "1 Road", "F", "CAFE", "1 Rd", "F"), ("", "", "", "", "", ""), ("abc", "x", "A", "xyz", "y", "B")]
-    got = features_16(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ("s1_business_name", "s1_business_address", "s1_country", "candidate_business_name", "candidate_business_address", "candidate_country")))).collect()
-    assert got[0]["name_exact"] == 1 and got[0]["same_country"] == 1 and got[0]["combined_similarity"] > 0.9
+    rows = [("Müller & Söhne", "12 Ring", "AT", "MULLER SOHNE", "12 Ring 3", "AT"), (None, "", "", "", None, ""), ("kiwi", "up", "MT", "zebra fox", "down", "SE")]
+    got = features_16(spark.createDataFrame(rows, PAIR)).collect()
+    assert got[0]["name_exact"] == 1 and got[0]["same_country"] == 1 and got[0]["address_exact"] == 0
+    # "12 ring" against "12 ring 3": 7 of 7 + 9 characters in common, 7 of the longer's 9.
+    assert got[0]["address_ratio"] == pytest.approx(14 / 16) and got[0]["address_length_ratio"] == pytest.approx(7 / 9)
+    assert got[0]["address_partial_ratio"] == 1 and got[0]["address_token_set"] == 1 and got[0]["combined_similarity"] == pytest.approx(1.0)
     assert got[1]["same_country"] == 1 and all(got[1][f] == 0 for f in FEATURES_16 if f != "same_country")
-    assert got[2]["name_ratio"] == 0
+    assert got[2]["same_country"] == 0 and got[2]["name_exact"] == 0
+    why = missed_diagnostics(spark.createDataFrame([("S1-1", "S2-1", *rows[0])], "s1_id string, candidate_id string, " + PAIR)).first()
+    assert why["max_name"] == 1 and why["max_address"] == 1 and "address_token_sort" not in why.asDict()
+
+
+def test_batches_score_as_single_pairs_do(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abc dé", k=rng.choice((0, 2, 9, 30, 70))))
+    rows = [(word(), word()) for _ in range(200)] + [(None, "x"), ("x", None)]
+    df = spark.createDataFrame(rows, "a string, b string").withColumn("s", fuzzy.all_scores(F.col("a"), F.col("b")))
+    for r in df.collect():
+        if r["a"] is None or r["b"] is None:
+            assert all(v is None for v in r["s"])
+            continue
+        total = len(r["a"]) + len(r["b"])
+        assert r["s"]["ratio"] == pytest.approx(200 * lcs_table(r["a"], r["b"]) / total if total else 100)
+        assert r["s"]["partial_ratio"] == pytest.approx(fuzzy.partial_ratio_of(r["a"], r["b"])) and r["s"]["token_set"] == pytest.approx(fuzzy.token_set_ratio_of(r["a"], r["b"]))
 
 
 def test_metrics_and_thresholds(spark):
-    truth = spark.createDataFrame([("S1-1", "S2-10,S3-20"), ("S1-2", "S2-30"), ("S1-3", "")], "source1_entity_id string, matched_entity_ids string")
-    scored = spark.createDataFrame([("S1-1", "S2-10", 0.95), ("S1-1", "S3-20", 0.9), ("S1-1", "S2-11", 0.4), ("S1-2", "S2-30", 0.8), ("S1-2", "S2-31", 0.2)], "s1_id string, candidate_id string, match_probability double")
+    truth = spark.createDataFrame([("S1-5", "S2-8,S3-4"), ("S1-6", ""), ("S1-7", "S3-9"), ("S1-8", "S2-2")], "source1_entity_id string, matched_entity_ids string")
+    scored = spark.createDataFrame(
+        [("S1-5", "S2-8", 0.91), ("S1-5", "S3-4", 0.62), ("S1-5", "S3-5", 0.33), ("S1-6", "S2-1", 0.57), ("S1-7", "S3-9", 0.74), ("S1-7", "S2-9", 0.74)],
+        "s1_id string, candidate_id string, match_probability double")
     ids = truth.select(F.col("source1_entity_id").alias("entity_id"))
-    got = {r[0]: r[1] for r in pairs.select_matches(scored, ids, 0.8).collect()}
-    assert got == {"S1-1": "S2-10,S3-20", "S1-2": "S2-30", "S1-3": ""}
-    curve = evaluate.threshold_sweep(scored, truth, [10, 50, 80, 95])
+    got = {r[0]: r[1] for r in pairs.select_matches(scored, ids, 0.6).collect()}
+    assert got == {"S1-5": "S2-8,S3-4", "S1-6": "", "S1-7": "S2-9,S3-9", "S1-8": ""}
+    curve = evaluate.threshold_sweep(scored, truth, [5, 55, 60, 75, 95])
     for r in curve.collect():
         counts = evaluate.entity_counts(truth, pairs.select_matches(scored, ids, r["percent"] / 100))
         assert evaluate.macro_f05(counts).first()["macro_f0_5"] == pytest.approx(r["macro_f0_5"])
-    assert evaluate.best_threshold(curve).first().asDict() == {"percent": 80, "macro_f0_5": 1.0}
+    # At 0.6: a full match, an empty one, one of two right with nothing missed (1.25 * 0.5 / 1.125), a miss.
+    assert evaluate.best_threshold(curve).first()["percent"] == 60
+    assert evaluate.best_threshold(curve).first()["macro_f0_5"] == pytest.approx((1 + 1 + 1.25 * 0.5 / 1.125 + 0) / 4)
+    percent, value = model.search_threshold(scored, truth)
+    assert percent == 62 and value == pytest.approx((2 + 1.25 * 0.5 / 1.125) / 4)
     labels = {(r["s1_id"], r["candidate_id"]): r["label"] for r in pairs.label(scored, truth).collect()}
-    assert sum(labels.values()) == 3 and labels["S1-1", "S2-11"] == 0
+    assert sum(labels.values()) == 3 and labels["S1-7", "S2-9"] == 0
 
 
 def test_violations(spark, sources):
     s1, s2, s3 = sources
-    m = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", ""), ("S1-2", "S2-99"), ("S9", "S1-1,Q")], "source1_entity_id string, matched_entity_ids string")
-    c = spark.createDataFrame([("S1-1", "S2-1,S2-1"), ("S1-2", ""), ("S1-3", "")], "source1_entity_id string, candidate_entity_ids string")
+    m = spark.createDataFrame([("S1-11", "S2-71"), ("S1-11", ""), ("S1-12", "S2-99"), ("S9", "S1-11,Q")], "source1_entity_id string, matched_entity_ids string")
+    c = spark.createDataFrame([("S1-11", "S2-71,S2-71"), ("S1-12", ""), ("S1-13", ""), ("S1-14", "")], "source1_entity_id string, candidate_entity_ids string")
     codes = {(r["file"], r["code"]) for r in qa.violations(m, c, s1, s2.unionByName(s3)).collect()}
     assert codes == {("matching", x) for x in ("duplicate_s1", "bad_s1_prefix", "missing_s1", "extra_s1", "unknown_target", "self_match", "bad_listed_prefix", "match_not_candidate")} | {("candidates", "duplicate_listed_id")}
     with pytest.raises(ValueError):
@@ -139,7 +179,7 @@ def test_tsv_round_trip_and_index_reuse(spark, sources, tmp_path):
     assert resolve.build_index(spark, [s2, s3], f"{tmp_path}/index") == meta
     with pytest.raises(ValueError):
         resolve.build_index(spark, [s2], f"{tmp_path}/index")
-    assert resolve.load_index(spark, f"{tmp_path}/index")[0].count() == 4
+    assert resolve.load_index(spark, f"{tmp_path}/index")[0].count() == 5
 
 
 def test_cosine_prefix_loses_nothing(spark):
@@ -171,3 +211,101 @@ def test_document_view_reads_whole_texts(spark, tmp_path):
         con.execute("create table documents (doc_id bigint, text varchar, lang varchar)")
         con.executemany("insert into documents values (?, ?, ?)", rows)
         assert {r[0]: r[1:3] for r in con.execute(DOCUMENTS["s1"]).fetchall()} == want
+
+
+def test_lenient_reading_names_the_bad_rows(spark, tmp_path):
+    text_ = "\ufeffsource1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\n\nS1-2\nS1-3\ta\tb\nS1-4\t\nS1-5\t\"q\tx\"\n"
+    (tmp_path / "m.tsv").write_text(text_, encoding="utf-8")
+    good, errors = tables.read_tsv_lenient(spark, f"{tmp_path}/m.tsv", tables.MATCHING)
+    assert sorted(map(tuple, good.collect())) == [("S1-1", "S2-1"), ("S1-4", ""), ("S1-5", "q\tx")]
+    assert sorted((r["number"], r["reason"]) for r in errors.collect()) == [(4, "expected 2 fields, found 1"), (5, "expected 2 fields, found 3")]
+    other = tables.read_tsv_lenient(spark, f"{tmp_path}/m.tsv", tables.CANDIDATES)[1]
+    assert "header differs" in {r["reason"] for r in other.collect()}
+    assert [tuple(r) for r in tables.read_lines(spark, f"{tmp_path}/m.tsv").orderBy("source1_entity_id").collect()][:2] == [("S1-1", "S2-1"), ("S1-2", "")]
+    assert {r[0] for r in tables.first_column_ids(spark, f"{tmp_path}/m.tsv").collect()} == {"S1-1", "S1-2", "S1-3", "S1-4", "S1-5"}
+    assert tables.header_of(spark, f"{tmp_path}/m.tsv") == list(tables.MATCHING)
+    df = spark.createDataFrame([(i,) for i in (3, 1, 2)], "row_idx long")
+    assert [r[0] for r in tables.head(df, 2).collect()] == [1, 2]
+
+
+def test_tracker_rules_and_files(spark, tmp_path):
+    base = dict.fromkeys(reports.TRACKER, "")
+    row = lambda **x: tuple((base | {"experiment_id": "e1", "date": "2026-03-01", "model_name": "m", "status": "done"} | x)[c] for c in reports.TRACKER)
+    frame = lambda *rows: spark.createDataFrame(list(rows), ", ".join(f"{c} string" for c in reports.TRACKER))
+    sent = {"submission_number_for_day": "1", "submission_file": "s", "candidate_file": "c", "validator_status": "pass"}
+    fine = frame(row(), row(experiment_id="e2", **sent))
+    assert reports.tracker_violations(fine).count() == 0
+    bad = frame(row(**sent), row(**sent), row(experiment_id="e3", **(sent | {"submission_number_for_day": "9", "validator_status": "", "candidate_file": ""})), row(experiment_id="e4", status=""))
+    assert {r["rule"] for r in reports.tracker_violations(bad).collect()} == {"duplicate_id", "repeated_number", "bad_number", "validator_not_passed", "missing_file_name", "missing_field"}
+    many = frame(*(row(experiment_id=f"x{i}", **(sent | {"submission_number_for_day": str(i)})) for i in range(1, 7)))
+    assert "too_many_on_day" in {r["rule"] for r in reports.tracker_violations(many).collect()}
+    tables.append_csv(reports.add_experiment(fine, frame(row(experiment_id="e5"))), f"{tmp_path}/tracker")
+    tables.append_csv(fine, f"{tmp_path}/tracker")
+    assert tables.read_csv(spark, f"{tmp_path}/tracker", reports.TRACKER).count() == 3
+    with pytest.raises(ValueError, match="duplicate_id"):
+        reports.add_experiment(fine, frame(row()))
+    with pytest.raises(ValueError, match="missing"):
+        tables.read_csv(spark, f"{tmp_path}/tracker", ("no_such",))
+    assert reports.cross_agreement({"source1_rows": 3, "zero_matches": 1}, {"source1_rows": 3, "zero_matches": 2}) == ["zero_matches"]
+    assert reports.country_map(spark.createDataFrame([("A",), ("A",), (None,)], "country string")).first()["countries"] == {"": 1, "A": 2}
+
+
+def test_packages_and_provenance(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.tsv").write_text("one")
+    (tmp_path / "in" / "b.tsv").write_text("two")
+    made = tables.write_package(f"{tmp_path}/p.zip", {"a.tsv": f"{tmp_path}/in/a.tsv", "b.tsv": f"{tmp_path}/in/b.tsv"}, ("a.tsv",))
+    assert made["a.tsv"] == tables.sha256_of(f"{tmp_path}/in/a.tsv")["sha256"]
+    assert {r["sha256"] for r in tables.file_fingerprints(spark, f"{tmp_path}/in").collect()} == set(made.values())
+    with pytest.raises(ValueError, match="missing"):
+        tables.inspect_package(f"{tmp_path}/p.zip", ("c.tsv",))
+    first = tables.provenance(spark, model=f"{tmp_path}/in")
+    tables.require_same_provenance(first, tables.provenance(spark, model=f"{tmp_path}/in"))
+    (tmp_path / "in" / "b.tsv").write_text("changed")
+    with pytest.raises(ValueError, match="model"):
+        tables.require_same_provenance(first, tables.provenance(spark, model=f"{tmp_path}/in"))
+    tables.write_report({"n": 1}, f"{tmp_path}/r.json")
+    assert tables.read_report(f"{tmp_path}/r.json") == {"n": 1}
+    tables.remove_report(f"{tmp_path}/r.json")
+    assert tables.read_report(f"{tmp_path}/r.json") is None
+    one = spark.createDataFrame([("a", None), ("b", "")], "x string, y string")
+    mark = lambda df: tables.fingerprint(df).first()
+    assert mark(one) == mark(one.repartition(3)) and mark(one) != mark(one.fillna("")) and mark(one)["rows"] == 2
+
+
+def test_sql_functions_and_contract(spark):
+    fuzzy.register(spark)
+    got = spark.sql("select fuzz_ratio('abcd', 'abxd') r, fuzz_partial_ratio('bc', 'abcd') p, fuzz_token_sort_ratio('b a', 'a b') s, fuzz_token_set_ratio('a b', 'a') t, normalize_text(' Ärzte-Haus ') n").first()
+    assert tuple(got) == (75.0, 100.0, 100.0, 100.0, "arzte haus")
+    table = spark.createDataFrame([("S1-1", "S2-1", 1), ("S1-1", "S2-1", 0), ("S1-2", "X", 0), (None, "S3-1", 0), ("S1-3", "S3-3", 7)], "s1_id string, candidate_id string, label int")
+    assert {r["code"] for r in qa.contract_violations(table).collect()} == {"duplicate_pair", "bad_prefix", "null_id", "bad_label"}
+    assert model.overlap(table.where("label = 1"), table.where("label = 0")).count() == 1
+    rows = spark.createDataFrame([(0, "S1-1"), (1, "S1-2")], "row_idx long, source1_entity_id string")
+    s1 = rows.withColumnRenamed("source1_entity_id", "entity_id")
+    assert qa.lockstep(s1, rows, rows).count() == 0 and qa.lockstep(s1, rows, rows.where("row_idx = 0")).count() == 1
+
+
+def test_run_stream_and_official_rules(spark, sources, tmp_path):
+    from kindred.streaming.infer import match_stream
+
+    s1, s2, s3 = sources
+    for i, df in enumerate((s1, s2, s3), 1):
+        tables.write_tsv(df.coalesce(1), f"{tmp_path}/data/source{i}.tsv", quote=True)
+    rows = [("S1-%d" % i, "S2-%d" % i, *(float((i + k) % 2) if k == 0 else 0.1 for k in range(len(FEATURES_16))), (i + 0) % 2) for i in range(40)]
+    fitted = model.train(spark.createDataFrame(rows, "s1_id string, candidate_id string, " + ", ".join(f"{f} double" for f in FEATURES_16) + ", label int"), list(FEATURES_16), model.build_classifier(2, 2, 0.3))
+    model.save(fitted, f"{tmp_path}/model")
+    with pytest.raises(ValueError, match="schema"):
+        model.load(f"{tmp_path}/model", ("other",))
+    fitted = model.load(f"{tmp_path}/model")
+    report = resolve.run(spark, f"{tmp_path}/data", f"{tmp_path}/index", f"{tmp_path}/out", fitted, model_path=f"{tmp_path}/model")
+    assert report["qa"]["passed"] and report["qa"]["source1_rows"] == 4 and tables.read_report(f"{tmp_path}/out/strict_qa.json")["source1_rows"] == 4
+    assert resolve.official(spark, f"{tmp_path}/data", f"{tmp_path}/out", f"{tmp_path}/index").count() == 0
+    assert resolve.candidate_table(spark, f"{tmp_path}/data", f"{tmp_path}/index", "rare").count() == report["qa"]["candidate_pairs"]
+    with pytest.raises(ValueError, match="model"):
+        resolve.run(spark, f"{tmp_path}/data", f"{tmp_path}/index", f"{tmp_path}/out", None, stage="validate")
+    assert tables.read_report(f"{tmp_path}/out/strict_qa.json") is None
+    s1.write.parquet(f"{tmp_path}/stream")
+    stream = spark.readStream.schema(s1.schema).parquet(f"{tmp_path}/stream")
+    match_stream(stream, f"{tmp_path}/index", fitted, f"{tmp_path}/matched", f"{tmp_path}/state").awaitTermination(120)
+    batch = tables.read_tsv(spark, f"{tmp_path}/out/matching_results", tables.MATCHING)
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/matched").select(*tables.MATCHING).collect())) == sorted(map(tuple, batch.collect()))
