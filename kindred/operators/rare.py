@@ -78,6 +78,11 @@ def with_texts(pairs: DataFrame, s1: DataFrame, others: DataFrame) -> DataFrame:
     return pairs.join(side(s1, "s1", "s1_id"), "s1_id").join(side(others, "candidate", "candidate_id"), "candidate_id")
 
 
+def by_entity(pairs: DataFrame) -> DataFrame:
+    """Pairs dealt out by S1 record, as the ranking needs them, to all shuffle partitions: scoring is CPU, however few bytes they are."""
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1_id")
+
+
 def rerank(pairs: DataFrame, k: int = 50) -> DataFrame:
     """Best ``k`` per S1 and source: both fields equal, then 0.6 name + 0.4 address, name, address, larger id."""
     out = rerank_scores(pairs)
@@ -103,7 +108,7 @@ def production_candidates(
     found = preselect(hits(chosen, index), pre_k).select("s1_id", "candidate_id")
     exact = blocking.exact_capped(s1, others, exact_limit).select("s1_id", "candidate_id")
     pairs = written(found.unionByName(exact).distinct(), "pairs")
-    return rerank(with_texts(pairs, s1, others), top_k).select("s1_id", "candidate_id", "source", "both_exact", "name_score", "address_score", "score", "rank")
+    return rerank(with_texts(by_entity(pairs), s1, others), top_k).select("s1_id", "candidate_id", "source", "both_exact", "name_score", "address_score", "score", "rank")
 
 
 def cheap_filter(pairs: DataFrame) -> DataFrame:
@@ -121,7 +126,7 @@ def scanning_candidates(s1: DataFrame, others: DataFrame, cap: int = 6, pre_k: i
     chosen = written(anchors(own, document_frequency(own), SCANNING, cap), "anchors")
     met = cheap_filter(hits(chosen, grams(others, SCANNING)))
     pre = preselect(met, pre_k).withColumn("retrieval_method", F.lit("rare_anchor"))
-    scored = rerank_scores(with_texts(pre, s1, others))
+    scored = rerank_scores(with_texts(by_entity(pre), s1, others))
     best = F.greatest("name_score", "address_score")
     scored = scored.withColumn("score", 0.85 * best + 0.15 * F.greatest("name_coverage", "address_coverage"))
     turn = Window.partitionBy("s1_id", "source").orderBy(F.desc("score"), F.desc("candidate_id"))

@@ -44,7 +44,9 @@ class Views:
         found = self.raw("cand") if found is None else found
         side = lambda df, p, key: df.select(F.col("entity_id").alias(key), *(F.col(c).alias(f"{p}_{c}") for c in ("business_name", "business_address", "country")))
         others = self.raw("s2").unionByName(self.raw("s3"))
-        return found.join(side(self.raw("s1"), "s1", "s1_id"), "s1_id").join(side(others, "candidate", "candidate_id"), "candidate_id")
+        both = found.join(side(self.raw("s1"), "s1", "s1_id"), "s1_id").join(side(others, "candidate", "candidate_id"), "candidate_id")
+        # The tables are single files: without this, all pairs would be scored by as many tasks as the view has branches.
+        return both.repartition(self.spark.sparkContext.defaultParallelism)
 
     def scored(self) -> DataFrame:
         """Pairs with the ratio of their normalized names as probability."""
