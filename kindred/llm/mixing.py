@@ -39,7 +39,8 @@ def targets(
     by weight; a target stops at ``max_repeats`` times its source's size and the excess goes to the
     others by weight until none is above: with sources ordered by size over weight, those that stop are a prefix.
     ``block``: ``block_words``, less where the whole mix would have under ``least_slots`` slots or the source itself
-    under ``source_slots`` otherwise; a word at least.
+    under ``source_slots`` otherwise; a word at least. A null source is one of its own; a source of no words has target 0 and
+    takes part in the order of weights. No rows give no rows; repeated rows count each; other columns are not read.
     """
     by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -74,7 +75,10 @@ def targets(
 
 
 def slots(mix: DataFrame, n_slots: int, per_range: int = 100_000) -> DataFrame:
-    """(slot, source, rank): the source of every slot and the slot's rank among its source's."""
+    """(slot, source, rank): the source of every slot and the slot's rank among its source's.
+
+    Sources whose part is empty get no slot; without sources, or with ``n_slots`` 0, there are no rows.
+    """
     spark = mix.sparkSession
     points = spark.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") * PHI - F.floor(F.col("id") * PHI)).alias("u"))
     points = points.withColumn("cell", F.floor(F.col("u") * GRID))
@@ -121,6 +125,8 @@ def plan(
     pieces: ``slot, row, doc_id, source, epoch, begin, words``: slot by slot, the words [begin, begin + words) that
     the mix takes of a document. Blocks have ``block_words`` words, fewer where a small corpus would have under
     ``least_slots`` slots or a small source under ``source_slots`` otherwise. A slot that ends past a source's last repeat is cut there.
+    Null, empty and blank texts have no pieces; null ids and sources, ties and repeated rows as in ``mixed_sizes``; an empty table gives
+    three empty frames. Other columns are not read.
     """
     sizes = docs.select(
         F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text").cast("string")).alias("size"))
