@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import text
-from kindred.operators.pairs import missing_and_extra, repeated
+from kindred.operators.pairs import repeated
 
 S1, MATCHES, CANDIDATES = "source1_entity_id", "matched_entity_ids", "candidate_entity_ids"
 
@@ -26,25 +26,38 @@ def raw_ids(col: str):
     return F.when(F.coalesce(F.col(col), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(col, ","))
 
 
+def _codes(**when) -> Column:
+    """The codes whose conditions hold, each with its detail: ``code=(condition, detail)``."""
+    found = [F.when(c, F.struct(F.lit(code).alias("code"), d.cast("string").alias("detail"))) for code, (c, d) in when.items()]
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
 def table_violations(table: DataFrame, column: str, file: str, s1: DataFrame, targets: DataFrame | None) -> DataFrame:
-    """Rules of one output table: id shape, repeats, list contents, coverage of S1 and known targets."""
-    listed = table.select(S1, F.explode(raw_ids(column)).alias("id"))
-    bad = ~F.col("id").rlike("^S[23]-.+$")
-    parts = [
-        _rows(table.where(F.coalesce(F.col(S1), F.lit("")) == ""), file, "empty_s1", S1, F.lit(None)),
-        _rows(table.where((F.col(S1) != "") & ~F.col(S1).startswith("S1-")), file, "bad_s1_prefix", S1, F.lit(None)),
-        _rows(repeated(table, S1), file, "duplicate_s1", S1, F.col("n")),
-        _rows(repeated(listed, S1, "id"), file, "duplicate_listed_id", S1, F.col("id")),
-        _rows(listed.where(F.col("id").startswith("S1-")).distinct(), file, "self_match", S1, F.col("id")),
-        _rows(listed.where(bad & ~F.col("id").startswith("S1-")).distinct(), file, "bad_listed_prefix", S1, F.col("id")),
-    ]
-    sides = missing_and_extra(s1.select(F.col("entity_id").alias(S1)), table, S1)
-    parts += [_rows(sides.where(F.col("side") == side), file, f"{side}_s1", "id", F.lit(None)) for side in ("missing", "extra")]
+    """Rules of one output table: id shape, repeats, list contents, coverage of S1 and known targets.
+
+    Two passes: one over the rows, grouped by their id and met with S1, and one over the distinct listed ids.
+    """
+    none = F.lit(None)
+    rows = table.groupBy(S1).agg(F.count("*").alias("n"))
+    known = s1.select(F.col("entity_id").alias("known")).distinct()
+    rows = rows.join(known, F.col(S1) == F.col("known"), "full_outer")
+    here, empty = F.col("n").isNotNull(), F.coalesce(F.col(S1), F.lit("")) == ""
+    per_id = _codes(
+        duplicate_s1=(F.col("n") > 1, F.col("n")), missing_s1=(~here, none), extra_s1=(here & F.col("known").isNull(), none))
+    # These two count every row.
+    per_row = _codes(empty_s1=(here & empty, none), bad_s1_prefix=(here & ~empty & ~F.col(S1).startswith("S1-"), none))
+    per_row = F.flatten(F.transform(per_row, lambda x: F.array_repeat(x, F.col("n").cast("int"))))
+    out = rows.select(F.coalesce(S1, "known").alias("s1_id"), F.explode(F.concat(per_id, per_row)).alias("x"))
+
+    listed = table.select(S1, F.explode(raw_ids(column)).alias("id")).groupBy(S1, "id").agg(F.count("*").alias("n"))
+    own, fine = F.col("id").startswith("S1-"), F.col("id").rlike("^S[23]-.+$")
+    when = {"duplicate_listed_id": (F.col("n") > 1, F.col("id")), "self_match": (own, F.col("id")), "bad_listed_prefix": (~own & ~fine, F.col("id"))}
     if targets is not None:
-        known = targets.select(F.col("entity_id").alias("id"))
-        unknown = listed.where(~bad).distinct().join(known, "id", "left_anti")
-        parts.append(_rows(unknown, file, "unknown_target", S1, F.col("id")))
-    return _union(parts)
+        held = targets.select(F.col("entity_id").alias("held")).distinct()
+        listed = listed.join(held, F.col("id") == F.col("held"), "left")
+        when["unknown_target"] = (fine & F.col("held").isNull(), F.col("id"))
+    out = out.unionByName(listed.select(F.col(S1).alias("s1_id"), F.explode(_codes(**when)).alias("x")))
+    return out.select(F.lit(file).alias("file"), "x.code", "s1_id", "x.detail")
 
 
 def subset_violations(matches: DataFrame, candidates: DataFrame) -> DataFrame:
