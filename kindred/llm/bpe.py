@@ -250,6 +250,17 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.withColumn("ids", ids(F.col("text").cast("string")))
 
 
+def _decoded(tokens: pa.Array, part: pa.Array) -> pa.Array:
+    """The bytes of every list of ids of ``part`` (null: no bytes); ``tokens`` by rank."""
+    flat, sizes = part.flatten(), pc.fill_null(pc.list_value_length(part), 0).to_numpy()
+    if flat.null_count or (out := tokens.take(flat)).null_count:
+        raise ValueError("unknown token id")
+    at = np.frombuffer(out.buffers()[1], np.int64)[: len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+    ends = pa.py_buffer(at[np.cumsum([0, *sizes], dtype=np.int64)])
+    text = pa.Array.from_buffers(pa.large_binary(), len(part), [None, ends, out.buffers()[2] or pa.py_buffer(b"")])
+    return text.cast(pa.binary())
+
+
 def decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``decoded`` binary: the bytes of ``ids`` (null ids: no bytes). Unknown ids raise an error."""
     spark = docs.sparkSession
@@ -260,17 +271,28 @@ def decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def raw(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = shipped.value.by_rank()
         for part in parts:
-            flat, sizes = part.flatten(), pc.fill_null(pc.list_value_length(part), 0).to_numpy()
-            if flat.null_count or (out := tokens.take(flat)).null_count:
-                raise ValueError("unknown token id")
-            at = np.frombuffer(out.buffers()[1], np.int64)[: len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
-            ends = pa.py_buffer(at[np.cumsum([0, *sizes], dtype=np.int64)])
-            text = pa.Array.from_buffers(pa.large_binary(), len(part), [None, ends, out.buffers()[2] or pa.py_buffer(b"")])
-            yield text.cast(pa.binary())
+            yield _decoded(tokens, part)
 
     return docs.withColumn("decoded", raw(F.col("ids")))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task: two in a row would each hold a vocabulary."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    shipped = load(spark, path, pattern)
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def both(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, tokens = Encoder(shipped.value), shipped.value.by_rank()
+        for part in parts:
+            ids = encoder.column(part)
+            yield pa.StructArray.from_arrays([ids, _decoded(tokens, ids)], ["ids", "decoded"])
+
+    out = docs.drop("ids", "decoded").withColumn("round_trip", both(F.col("text").cast("string")))
+    return out.select(*(c for c in out.columns if c != "round_trip"), "round_trip.ids", "round_trip.decoded")
+
+
 def ids_text(ids):
     """Decimal ids joined by commas."""
     return F.array_join(ids.cast("array<string>"), ",")

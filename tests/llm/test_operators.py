@@ -189,6 +189,18 @@ def test_bpe_equals_the_public_encoder(odd, empty):
     assert bpe.encode(empty, path, public.PATTERN).count() == 0
 
 
+def test_bpe_round_trip_takes_one_python_worker(spark, odd, empty):
+    public = pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    path = public.path("byte_bpe_multi_50k.tiktoken")
+    rows = lambda df: sorted(df.select("doc_id", "ids", "decoded").collect(), key=str)
+    assert rows(bpe.round_trip(odd, path, public.PATTERN)) == rows(bpe.decode(bpe.encode(odd, path, public.PATTERN), path, public.PATTERN))
+    assert bpe.round_trip(empty, path, public.PATTERN).count() == 0
+    plan = corpus_pipeline.tokens(spark, odd.withColumn("source", F.lit("s")), "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_language_id(spark, odd, empty):
     voices = {"en": ["the", "with", "and", "house"], "fr": ["le", "avec", "été", "maison"], "de": ["der", "mit", "über", "haus"]}
     rows = [(i, " ".join(voices[lang][(i * j) % 4] for j in range(1, 20)), lang, "a") for i, lang in enumerate(["en", "fr", "de"] * 40)]
