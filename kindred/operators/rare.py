@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import text
 from kindred.functions.features import rerank_scores
-from kindred.operators import blocking
+from kindred.operators import blocking, packed
 from kindred.sources.stage import written
 
 #: kind -> (column, gram sizes, anchors kept): production, and the variant that scans targets.
@@ -66,6 +66,15 @@ def hits(chosen: DataFrame, index: DataFrame) -> DataFrame:
         (part("n") + part("a")).alias("anchor_score"))
 
 
+def anchor_hits(s1: DataFrame, others: DataFrame, setup=PRODUCTION, cap: int = 24) -> DataFrame:
+    """``hits`` of records with basic normalization, their grams as numbers: frequencies are summed up by tasks, and only
+    grams that may be rare (S1) or anchors (targets) leave a task."""
+    s1, others = written(s1, "s1"), written(others, "targets")
+    rare = written(packed.document_frequency(others, setup).where(F.col("df") <= cap), "frequency")
+    chosen = written(anchors(packed.sifted(s1, setup, rare), rare, setup, cap), "anchors")
+    return hits(chosen, packed.sifted(others, setup, chosen))
+
+
 def preselect(pairs: DataFrame, k: int = 80) -> DataFrame:
     """Best ``k`` per S1 and source by anchor score, ties to the larger id."""
     turn = Window.partitionBy("s1_id", "source").orderBy(F.desc("anchor_score"), F.desc("candidate_id"))

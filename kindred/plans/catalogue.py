@@ -290,9 +290,7 @@ def rare_anchors(v: Views) -> DataFrame:
 
 
 def _hits(v: Views) -> DataFrame:
-    index = rare.postings(rare.grams(v.targets))
-    chosen = rare.anchors(rare.grams(v.s1), index.select("country", "kind", "gram", "df").distinct())
-    return rare.hits(chosen, index)
+    return rare.anchor_hits(v.s1, v.targets)
 
 
 @query(DOCUMENTS, _RARE + " select s1_id, candidate_id, name_anchor_hits, address_anchor_hits, round(nc + ac, 9) as anchor_score from hi")

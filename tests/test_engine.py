@@ -86,6 +86,30 @@ def test_retrieval_stays_in_the_country(spark, sources):
     assert {(r["source1_entity_id"], r["candidate_entity_id"]) for r in ranked if r["retrieval_score"] > 0.99} >= {("S1-12", "S3-31"), ("S1-11", "S3-32")}
 
 
+def test_grams_as_numbers_hit_what_grams_as_texts_do(spark, monkeypatch):
+    from kindred.operators import packed
+
+    rng = random.Random(5)
+    texts = ["", "ab", "a b c d", "zz9 " * 30, *(" ".join(rng.choices(("alder", "birch7", "c", "dogwood", "elm 0", "fir"), k=rng.randint(1, 9))) for _ in range(60))]
+    rows = lambda p, n: [(f"{p}-{i % 55}", rng.choice(texts), rng.choice(texts), rng.choice("AAB")) for i in range(n)]  # noqa: E731  some ids repeat
+    s1, others = (spark.createDataFrame(r, "entity_id string, name string, address string, country string") for r in (rows("S1", 60), rows("S2", 60) + rows("S3", 60)))
+    index = rare.postings(rare.grams(others))
+    chosen = rare.anchors(rare.grams(s1), index.select("country", "kind", "gram", "df").distinct())
+    want = sorted(rare.hits(chosen, index).collect())
+    for held, characters in ((8_000_000, 2_000_000), (20, 50)):
+        monkeypatch.setattr(packed, "HELD", held)
+        monkeypatch.setattr(packed, "CHARACTERS", characters)
+        found = rare.anchor_hits(s1, others)
+        assert sorted(found.collect()) == want and len(want) > 100
+    # Before, all grams of all targets were shuffled, as texts and twice.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "array_distinct" not in plan
+    grams = sorted({t[i : i + n] for t in ("abcdefgh0", "ab0z9aab") for n in (4, 6, 8) for i in range(10 - n)})
+    assert sorted(grams, key=packed.code) == grams and len({packed.code(g) for g in grams}) == len(grams)
+    with pytest.raises(Exception, match="basic normalization"):
+        rare.anchor_hits(s1.withColumn("name", F.lit("Straße")), others).collect()
+
+
 def test_hot_keys_are_capped_per_source(spark):
     s1 = resolve.normalized(records(spark, [("S1-1", "Same Name", "1 Road", "A")]))
     many = [(f"S2-{i}", "Same Name", "1 Road", "A") for i in range(12)] + [("S3-1", "Same Name", "1 Road", "A")]
