@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions import text
+from kindred.sources.stage import written
 
 #: Query kinds of the capped lookup: compared columns, and the order in which a cap keeps targets.
 KINDS = {
@@ -65,13 +66,30 @@ def exact_overflow(s1: DataFrame, others: DataFrame, limit: int = 512) -> DataFr
 
 
 def exact_methods(s1: DataFrame, others: DataFrame) -> DataFrame:
-    """Uncapped probes by name and by address, merged: (s1_id, candidate_id, retrieval_method)."""
-    out = None
-    for key in ("name", "address"):
-        right = others.where(F.col(key) != "").select(F.col("entity_id").alias("candidate_id"), "country", key)
-        part = _left(s1, [key]).join(right, ["country", key]).select("s1_id", "candidate_id", F.lit(f"exact_{key}").alias("method"))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("s1_id", "candidate_id").agg(F.array_join(F.sort_array(F.collect_set("method")), "+").alias("retrieval_method"))
+    """Uncapped probes by name and by address, merged: (s1_id, candidate_id, retrieval_method).
+
+    A pair of records with an id of their own is made once, by its name or else by its address, so nothing is grouped; only
+    pairs with an id that several records of a side share are.
+    """
+    def side(df: DataFrame, key: str, label: str) -> DataFrame:
+        several = F.count("*").over(Window.partitionBy("entity_id")) > 1
+        return written(df.select(F.col("entity_id").alias(key), "country", "name", "address", several.alias("several")), label)
+
+    def probes(left: DataFrame, right: DataFrame) -> DataFrame:
+        a, b = left.drop("several").alias("a"), right.drop("several").alias("b")
+        same = lambda key: (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col(f"a.{key}") != "")
+        here = F.col("a.country") == F.col("b.country")
+        both = F.when(same("address"), "exact_address+exact_name").otherwise("exact_name")
+        name = a.join(b, here & same("name")).select("s1_id", "candidate_id", both.alias("retrieval_method"))
+        other_name = ~F.coalesce(same("name"), F.lit(False))
+        return name.unionByName(a.join(b, here & same("address") & other_name).select("s1_id", "candidate_id", F.lit("exact_address").alias("retrieval_method")))
+
+    left, right = side(s1, "s1_id", "exact-s1"), side(others, "candidate_id", "exact-targets")
+    plain = probes(left.where("not several"), right.where("not several"))
+    again = probes(left.where("several"), right).unionByName(probes(left.where("not several"), right.where("several")))
+    again = again.select("s1_id", "candidate_id", F.explode(F.split("retrieval_method", "[+]")).alias("method"))
+    methods = F.array_join(F.sort_array(F.collect_set("method")), "+").alias("retrieval_method")
+    return plain.unionByName(again.groupBy("s1_id", "candidate_id").agg(methods))
 
 
 def first_per_pair(candidates: DataFrame) -> DataFrame:

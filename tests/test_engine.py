@@ -110,6 +110,26 @@ def test_grams_as_numbers_hit_what_grams_as_texts_do(spark, monkeypatch):
         rare.anchor_hits(s1.withColumn("name", F.lit("Straße")), others).collect()
 
 
+def test_exact_methods_group_no_pairs_of_unique_ids(spark):
+    rng = random.Random(8)
+    rows = lambda p, n: [(f"{p}-{i % 35}", rng.choice(("", "x", "y z", None)), rng.choice(("", "1", "2", "x", None)), rng.choice(("A", "B", None))) for i in range(n)]
+    one, two = rows("S1", 40), rows("S2", 40)
+    want = {}
+    for a in one:
+        for b in two:
+            for k, label in ((1, "exact_name"), (2, "exact_address")):
+                if a[k] and a[k] == b[k] and a[3] and a[3] == b[3]:
+                    want.setdefault((a[0], b[0]), set()).add(label)
+    s1, others = (spark.createDataFrame(r, "entity_id string, name string, address string, country string") for r in (one, two))
+    got = [tuple(r) for r in blocking.exact_methods(s1, others).collect()]
+    assert sorted(got) == sorted((*k, "+".join(sorted(v))) for k, v in want.items()) and len(got) > 50
+    # Before, every pair went through a shuffle to be grouped.
+    unique = blocking.exact_methods(s1.dropDuplicates(["entity_id"]), others.dropDuplicates(["entity_id"]))
+    unique.collect()
+    plain = unique._jdf.queryExecution().optimizedPlan().toString()
+    assert plain.startswith("Union") and plain.count("Aggregate") == 1
+
+
 def test_hot_keys_are_capped_per_source(spark):
     s1 = resolve.normalized(records(spark, [("S1-1", "Same Name", "1 Road", "A")]))
     many = [(f"S2-{i}", "Same Name", "1 Road", "A") for i in range(12)] + [("S3-1", "Same Name", "1 Road", "A")]
