@@ -3,7 +3,8 @@
 Country, source and field are grouping keys, so all corpora run as one job. Weight: tf * (ln((1 + N) / (1 + df)) + 1), rows
 of unit length, grams in at least two documents. The similarity join prunes by prefix: a pair whose
 cosine reaches the bound shares a gram among either side's rarest grams outside which the remaining
-weight is too short, so common grams only serve to finish the score of pairs that a rarer one proposed.
+weight is too short, so common grams only serve to finish the score of pairs that a rarer one proposed. It shuffles every proposed pair: top lists of
+large corpora come from ``neighbours``, in blocks.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions import text
 from kindred.operators import blocking
+from kindred.operators.neighbours import neighbours
 from kindred.sources.stage import written
 
 

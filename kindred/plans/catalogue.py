@@ -402,7 +402,7 @@ row_number() over (partition by s1_id order by round(score, 12) desc, candidate_
 
 @query(sql=_TFIDF)
 def tfidf_name_topn(v: Views) -> DataFrame:
-    found = tfidf.cosine_pairs(tfidf.weights(tfidf.corpora(v.s1, v.targets, ("name",))))
+    found = tfidf.neighbours(v.s1, v.targets, ("name",))
     return found.select("s1_id", "candidate_id", F.round("score", 9).alias("score"))
 
 

@@ -242,6 +242,31 @@ def test_cosine_prefix_loses_nothing(spark):
     assert got == pytest.approx({k: v for k, v in full.items() if v >= 0.25})
 
 
+def test_neighbours_in_blocks_are_the_best_of_all_pairs(spark, monkeypatch):
+    from pyspark.sql import Window
+
+    from kindred.operators import neighbours
+
+    rng = random.Random(8)
+    words = ["trading", "co", "Ärger", "b", "日本語", "🦊x", "alder", "birch7", "elm", "fir", *("".join(rng.choices("aeioubdg", k=rng.randint(1, 5))) for _ in range(40))]
+    texts = [None, "", " ", "co", "trading  co", *(" ".join(rng.choices(words, k=rng.randint(1, 6))) for _ in range(50))]
+    rows = lambda p, n: [(f"{p}-{i % (n - 5)}", rng.choice(texts), rng.choice(texts), rng.choice(["A", "A", "B", None])) for i in range(n)]  # noqa: E731  some ids repeat
+    schema = "entity_id string, name string, address string, country string"
+    s1 = spark.createDataFrame([*rows("S1", 60), (None, "trading co", "elm", "A"), ("S1-x", "fir", "fir", "C")], schema)
+    others = spark.createDataFrame([*rows("S2", 60), *rows("S3", 40), *((f"S2-c{i}", "co trading", "elm", "A") for i in range(20)), (None, "co", "fir", "A")], schema)
+    plain = tfidf.cosine_pairs(tfidf.weights(tfidf.corpora(s1, others)), 0.25, None)
+    turn = Window.partitionBy("country", "source", "field", "s1_id").orderBy(F.desc(F.round("score", 12)), "candidate_id")
+    plain = plain.withColumn("turn", F.row_number().over(turn))
+    told = lambda d: {tuple(r[c] for c in ("country", "source", "field", "s1_id", "candidate_id")): r["score"] for r in d.collect()}
+    for top_n, least, most, held, dense in ((7, 2048, 32768, 4_000_000, 256), (3, 11, 13, 50, 4)):
+        for name, value in (("LEAST", least), ("S1_BLOCK", max(least, 11)), ("TARGET_BLOCK", most), ("HELD", held), ("DENSE", dense)):
+            monkeypatch.setattr(neighbours, name, value)
+        want = told(plain.where(F.col("turn") <= top_n))
+        assert len(want) > 200
+        assert told(neighbours.neighbours(s1, others, top_n=top_n)) == pytest.approx(want)
+    assert not neighbours.neighbours(s1.limit(0), others).collect() and not neighbours.neighbours(s1, others.limit(0)).collect()
+
+
 def test_document_view_reads_whole_texts(spark, tmp_path):
     duckdb = pytest.importorskip("duckdb")
     from kindred.plans.views import DOCUMENTS, view
