@@ -71,12 +71,11 @@ def candidates(s1: DataFrame, others: DataFrame, top_n: int = 20, address_bound:
 
     ``address_bound`` applies to addresses alone; names and combined texts use 0.25.
     """
-    found = cosine_pairs(weights(corpora(s1, others)), min(0.25, address_bound), None)
-    least = F.when(F.col("field") == "address", address_bound).otherwise(0.25)
-    turn = Window.partitionBy("country", "source", "field", "s1_id").orderBy(F.desc(F.round("score", 12)), "candidate_id")
-    found = found.where(F.col("score") >= least).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= top_n)
+    bounds = {"name": 0.25, "address": address_bound, "combined": 0.25}
+    found = neighbours(s1, others, tuple(bounds), bounds, top_n)
     everything = found.select("s1_id", "candidate_id", "score").unionByName(blocking.exact_name(s1, others))
-    return ranked(everything.groupBy("s1_id", "candidate_id").agg(F.max("score").alias("score")))
+    # By S1 record at once, so that the pairs do not move again to be ranked.
+    return ranked(everything.repartition("s1_id").groupBy("s1_id", "candidate_id").agg(F.max("score").alias("score")))
 
 
 def ranked(pairs: DataFrame) -> DataFrame:

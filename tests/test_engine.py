@@ -267,6 +267,20 @@ def test_neighbours_in_blocks_are_the_best_of_all_pairs(spark, monkeypatch):
     assert not neighbours.neighbours(s1.limit(0), others).collect() and not neighbours.neighbours(s1, others.limit(0)).collect()
 
 
+def test_ranked_candidates_make_no_gram_pairs(spark, monkeypatch):
+    schema = "entity_id string, name string, address string, country string"
+    s1 = spark.createDataFrame([("S1-1", "alder works", "4 mill lane", "A"), ("S1-2", "birch trade", "9 quay", "A"), ("S1-3", "", "4 mill lane", "A")], schema)
+    others = spark.createDataFrame([("S2-1", "alder work", "4 mill lane", "A"), ("S2-2", "elm", "14 mill", "A"), ("S3-1", "birch trade", "9 quays", "A"), ("S3-2", "birch", "4 mill lane", "B")], schema)
+    best = {}
+    for r in tfidf.cosine_pairs(tfidf.weights(tfidf.corpora(s1, others)), 0.1, None).collect():
+        if r["score"] >= (0.1 if r["field"] == "address" else 0.25):
+            best[r["s1_id"], r["candidate_id"]] = max(r["score"], best.get((r["s1_id"], r["candidate_id"]), 0))
+    best["S1-2", "S3-1"] = 1.0  # the exact name
+    monkeypatch.setattr(tfidf, "weights", None)  # a row for each gram of each record
+    got = tfidf.candidates(s1, others, address_bound=0.1).collect()
+    assert {(r["source1_entity_id"], r["candidate_entity_id"]): r["retrieval_score"] for r in got} == pytest.approx(best)
+
+
 def test_document_view_reads_whole_texts(spark, tmp_path):
     duckdb = pytest.importorskip("duckdb")
     from kindred.plans.views import DOCUMENTS, view
