@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm.common import bounded_batches
+from kindred.llm.common import bounded_batches, tidied
 
 #: Entries that a memo holds before it starts anew.
 MEMO = 250_000
@@ -284,6 +284,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
     def both(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tidied()
         encoder, tokens = Encoder(shipped.value), shipped.value.by_rank()
         for part in parts:
             ids = encoder.column(part)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.sources.stage import finished, written
 
-__all__ = ["bounded_batches", "components", "finished", "lower_ascii", "read_table", "roughly_among", "written"]
+__all__ = ["bounded_batches", "components", "finished", "lower_ascii", "read_table", "roughly_among", "tidied", "written"]
 
 #: ASCII white space as the contracts define it: [\x20\x09-\x0D].
 BLANKS = " \t\n\x0b\x0c\r"
@@ -17,9 +22,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def tidied() -> None:
+    """Gives back what earlier tasks left in a reused Python worker. Called where a task begins."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library of another kind
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
     """Bound Arrow batches by rows and bytes, unless the session already states a bound."""
-    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+    for key, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
         if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(value))
 

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import bounded_batches, written
+from kindred.llm.common import bounded_batches, tidied, written
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -181,6 +181,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def name(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tidied()
         m = shipped.value
         for part in parts:
             texts = part.to_pylist()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import bounded_batches, components, roughly_among, written
+from kindred.llm.common import bounded_batches, components, roughly_among, tidied, written
 from kindred.llm.texthash import U, mix, seeds, shingles, words
 
 SAMPLES, ROWS, SKETCH_WORDS = 128, 4, 8
@@ -94,6 +94,7 @@ def _sign(shingle: int):
     names = ["doc_id", "d1", "d2", "n_shingles", "bands", *_ODD, *_SET]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidied()
         for batch in batches:
             digests, sizes, bands, odd = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -134,6 +135,7 @@ def _confirm(shingle: int, percent: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidied()
         held, lead = None, None
         for batch in batches:
             found = []

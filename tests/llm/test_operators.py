@@ -282,6 +282,25 @@ def test_embedding_groups(vectors, block):
     assert lattice_dedup.embedding_groups(df.limit(0)).count() == 0
 
 
+def test_pipeline_bounds_its_batches(spark):
+    import corpus_pipeline
+
+    keys = [f"spark.sql.execution.arrow.{k}" for k in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    docs = spark.createDataFrame([(1, "a b c", "s")], "doc_id long, text string, source string")
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        assert corpus_pipeline.tokens(spark, docs, "").first()["exact"]
+        assert [int(spark.conf.get(k)) for k in keys] == [250, 2 << 20]
+        spark.conf.set(keys[0], "7")  # what the session states stays
+        corpus_pipeline.tokens(spark, docs, "")
+        assert spark.conf.get(keys[0]) == "7"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_pipeline(spark, tmp_path, monkeypatch):
     pytest.importorskip("public_tokenizers")
     import corpus_pipeline
