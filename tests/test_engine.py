@@ -130,6 +130,27 @@ def test_exact_methods_group_no_pairs_of_unique_ids(spark):
     assert plain.startswith("Union") and plain.count("Aggregate") == 1
 
 
+def test_exact_methods_deal_a_hot_key_to_tasks_in_blocks(spark, monkeypatch):
+    for name, value in (("BLOCK", 8), ("TILE", 16), ("TASK", 1000)):
+        monkeypatch.setattr(blocking, name, value, raising=False)
+    rows = lambda p, n: [(f"{p}-{i}", "hot" if i % 10 else "", ("1", "2", "")[i // 2 % 3], "A") for i in range(n)]
+    one, two = rows("S1", 150), rows("S2", 200) + [("S2-7", "hot", "2", "A")]
+    want = {}
+    for a in one:
+        for b in two:
+            for k, label in ((1, "exact_name"), (2, "exact_address")):
+                if a[k] and a[k] == b[k]:
+                    want.setdefault((a[0], b[0]), set()).add(label)
+    s1, others = (spark.createDataFrame(r, "entity_id string, name string, address string, country string") for r in (one, two))
+    got = blocking.exact_methods(s1, others).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(tuple(r)[:3] for r in got) == sorted((*k, "+".join(sorted(v))) for k, v in want.items())
+    # Before, all pairs of a name came from one task, in the order of the records.
+    tasks = [r.task for r in got]
+    assert max(map(tasks.count, set(tasks))) < len(tasks) / 3
+    runs = sum(a.s1_id != b.s1_id for a, b in zip(got, got[1:]))
+    assert runs < len(got) / 4
+
+
 def test_hot_keys_are_capped_per_source(spark):
     s1 = resolve.normalized(records(spark, [("S1-1", "Same Name", "1 Road", "A")]))
     many = [(f"S2-{i}", "Same Name", "1 Road", "A") for i in range(12)] + [("S3-1", "Same Name", "1 Road", "A")]
